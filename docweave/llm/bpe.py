@@ -34,6 +34,10 @@ def byte_alphabet() -> list[str]:
     return out
 
 
+#: Stands for the word-end mark while a word is spelled; no symbol of the byte alphabet.
+_END = "\n"
+
+
 class TokenAutomaton:
     """Deterministic automaton over tokens, built by successive merge gadgets.
 
@@ -60,7 +64,9 @@ class TokenAutomaton:
             self.lost[u << 20 | v] = k
             self.first[u] = min(self.first[u], k)
             self._add(a + b, k, u, v)
-        self.starts = {t[:i] for t in self.number for i in range(1, len(t) + 1)}
+        # every start of a label: the label's number, or -1 where only longer labels start so
+        ends = {(t[: -len(word_end)] + _END if t.endswith(word_end) else t): i for t, i in self.number.items()}
+        self.table = {t[:i]: -1 for t in ends for i in range(1, len(t))} | ends
         self._seen: dict[int, bool] = {}
 
     def _add(self, text: str, born: int, left: int, right: int) -> None:
@@ -96,33 +102,44 @@ class TokenAutomaton:
             else:
                 return True
 
-    def encode(self, word: str) -> list[str]:
-        """Labels of the only path that spells the word and its end mark."""
-        n, starts, number = len(word), self.starts, self.number
-        at: list[int] = [-1] * (n + 1)  # token by which each place is reached
-        back = [0] * (n + 1)
-        for i in range(n):
-            if i and at[i] < 0:
-                continue
-            here = at[i]
-            for j in range(i + 1, n):
-                piece = word[i:j]
-                if piece not in starts:
+    def encode(self, word: str) -> list[int]:
+        """Labels of the only path that spells the word and its end mark, by number.
+
+        The longest arcs are tried first.  What can follow depends on the place and the last arc
+        alone, so a place found dead after an arc is not tried again: the work is linear.
+        """
+        text, table, seen = word + _END, self.table, self._seen
+        n, path, places, options, dead = len(text), [], [0], [], None
+        while True:
+            i = places[-1]
+            if i == n:
+                return path
+            if len(options) < len(places):
+                found = []
+                for j in range(i + 1, n + 1):
+                    t = table.get(text[i:j])
+                    if t is None:
+                        break
+                    if t >= 0:
+                        found.append((t, j))
+                options.append(found)
+            choices, last = options[-1], path[-1] if path else -1
+            while choices:
+                t, j = choices.pop()
+                if last >= 0:
+                    ok = seen.get(last << 20 | t)
+                    if not (self.has_arc(last, t) if ok is None else ok):
+                        continue
+                if dead is None or (t, j) not in dead:
+                    path.append(t)
+                    places.append(j)
                     break
-                t = number.get(piece)
-                if t is not None and at[j] < 0 and (not i or self.has_arc(here, t)):
-                    at[j], back[j] = t, i
-            if at[n] < 0:
-                t = number.get(word[i:] + self.word_end)
-                if t is not None and (not i or self.has_arc(here, t)):
-                    at[n], back[n] = t, i
-        if at[n] < 0:
-            raise ValueError(f"no path spells {word!r}")
-        out = []
-        while n:
-            out.append(self.label[at[n]])
-            n = back[n]
-        return out[::-1]
+            else:
+                if not path:
+                    raise ValueError(f"no path spells {word!r}")
+                dead = dead or set()
+                dead.add((path.pop(), places.pop()))
+                options.pop()
 
 
 _SEPARATORS = regex.compile(r"[\x1c-\x1f]")
@@ -147,7 +164,7 @@ class _Known(dict):
 class WordBpe:
     """A word-end BPE vocabulary file: splitting, automaton and the texts of its arcs."""
 
-    def __init__(self, path: str, most_cached: int = 300_000):
+    def __init__(self, path: str, most_cached: int = 250_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -163,14 +180,21 @@ class WordBpe:
         self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         steps = spec["pre_tokenizer"]["pretokenizers"]
         self.pattern = regex.compile(next(s["pattern"]["Regex"] for s in steps if s["type"] == "Split"))
-        self.known = _Known(self._token, most_cached)
+        self.ids = [str(self.vocab[x]) for x in self.automaton.label]
+        self.words, self.known = _Known(self._word, most_cached), _Known(self._token, most_cached)
+
+    def _word(self, word: str) -> tuple[str, str, int]:
+        plain = word.isascii() and word.isprintable()  # such bytes stand for themselves
+        path = self.automaton.encode(word if plain else word.encode("utf-8").decode("latin-1").translate(self.letters))
+        ids, labels = self.ids, self.automaton.label
+        return " ".join([ids[x] for x in path]), " ".join([labels[x] for x in path]), len(path)
 
     def _token(self, token: str) -> tuple[str, str, int]:
         """All words of a run without white space."""
-        labels = []
-        for word in self.pattern.findall(token):
-            labels += self.automaton.encode(word.encode("utf-8").decode("latin-1").translate(self.letters))
-        return " ".join([str(self.vocab[x]) for x in labels]), " ".join(labels), len(labels)
+        if token.isalpha():
+            return self.words[token]
+        found = [self.words[w] for w in self.pattern.findall(token)]
+        return " ".join([x[0] for x in found]), " ".join([x[1] for x in found]), sum([x[2] for x in found])
 
     def _segment(self, text: str) -> list[tuple[str, str, int]]:
         text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
