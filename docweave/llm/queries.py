@@ -20,6 +20,12 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import suffix_trees
+
+    return suffix_trees.dedup_words(_table(spark, sf_dir, "documents"), length=35, keep_text=False)
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import quality
 
@@ -32,6 +38,12 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary_path(), keep_text=False)
 
 
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import suffix_array
+
+    return suffix_array.dedup_bytes(_table(spark, sf_dir, "documents"), length=200, keep_text=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 

@@ -94,41 +94,39 @@ def sliding_min(values: np.ndarray, w: int) -> np.ndarray:
     return out
 
 
-def winnow(symbols_hash: np.ndarray, offsets: np.ndarray, k: int, w: int) -> tuple[np.ndarray, np.ndarray]:
-    """Anchors: in every w consecutive k-grams of a row, the k-grams with the least hash.
-
-    ``symbols_hash`` has the hash of the k-gram at each position (of the concatenated rows),
-    ``offsets`` the row borders.  Every range of k + w - 1 symbols of one row holds an anchor,
-    and equal ranges hold anchors at equal places.  Returns (row, position in the row).
+def owned_windows(grams: np.ndarray, offsets: np.ndarray, k: int, length: int):
+    """Deals out all windows of ``length`` symbols of each row to anchors.
+
+    ``grams`` has the hash of the k-gram at each position of the concatenated rows (any value
+    where a k-gram would cross a row's end).  The anchor of a window is the first k-gram with the
+    least hash in it, so equal windows have equal anchors at equal places.  Returns for each
+    anchor: row, its position, first window, number of (consecutive) windows, positions counted
+    over the concatenated rows.
     """
-    n = len(symbols_hash)
-    if not n:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    values = symbols_hash.copy()
-    lengths = np.diff(offsets)
-    for back in range(1, k):  # k-grams that cross a row's end are no k-grams
-        at = offsets[1:][lengths >= back] - back
-        values[at[at < n]] = np.uint64(2**64 - 1)
-    if n < w:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    least = sliding_min(values, w)
-    # position i is an anchor if it equals the minimum of some window [s, s + w) inside its row
-    is_anchor = np.zeros(n, bool)
-    spread = np.full(n + w - 1, 0, np.uint64)
-    ok = np.zeros(len(least), bool)
-    long = np.flatnonzero(lengths >= k + w - 1)
-    marks = np.zeros(len(least) + 1, np.int32)
-    np.add.at(marks, offsets[long], 1)
-    np.add.at(marks, offsets[long] + lengths[long] - (k + w - 1) + 1, -1)
-    ok = np.cumsum(marks[:-1]) > 0
-    # the greatest window minimum among the windows that hold i equals its value iff i is an anchor
-    spread[w - 1 : w - 1 + len(least)] = np.where(ok, least, 0)
-    highest = np.uint64(2**64 - 1) - sliding_min(np.uint64(2**64 - 1) - spread, w)
-    highest = highest[:n] if len(highest) >= n else np.concatenate([highest, np.zeros(n - len(highest), np.uint64)])
-    is_anchor = (highest == values) & (values != np.uint64(2**64 - 1))
-    at = np.flatnonzero(is_anchor)
-    row = np.searchsorted(offsets, at, "right") - 1
-    return row, at - offsets[row]
+    w, lengths = length - k + 1, np.diff(offsets)
+    long = np.flatnonzero(lengths >= length)
+    none = np.zeros(0, np.int64)
+    if not len(long):
+        return none, none, none, none
+    least = sliding_min(grams, w)
+    marks = np.zeros(len(grams) + 1, np.int8)
+    first, after = offsets[long], offsets[long] + lengths[long] - length + 1
+    np.add.at(marks, first, 1)
+    np.add.at(marks, after, -1)
+    ok = np.cumsum(marks, dtype=np.int8)[: len(least)] > 0
+    new = np.empty(len(least), bool)
+    new[0] = True
+    new[1:] = (least[1:] != least[:-1]) | (grams[: len(least) - 1] == least[:-1])
+    new[first] = True
+    new &= ok
+    starts = np.flatnonzero(new)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    ends = np.minimum(np.append(starts[1:], len(grams)), offsets[row] + lengths[row] - length + 1)
+    at, ahead = np.empty_like(starts), np.arange(w)
+    for i in range(0, len(starts), 1 << 14):
+        some = starts[i : i + (1 << 14)]
+        at[i : i + (1 << 14)] = some + grams[some[:, None] + ahead].argmin(1)
+    return row, at, starts, ends - starts
 
 
 _SPACE = np.zeros(256, bool)
