@@ -6,6 +6,7 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,15 +39,32 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(_table(spark, sf_dir, "documents"), vocabulary_path(), keep_text=False)
 
 
+def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import phrase_index
+
+    found = phrase_index.find_phrases(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"), length=10)
+    digest = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import suffix_array
 
     return suffix_array.dedup_bytes(_table(spark, sf_dir, "documents"), length=200, keep_text=False)
 
 
+def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import line_runs
+
+    kept = line_runs.dedup_line_runs(_table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from docweave.llm import line_runs
+
+    return {"op10_line_runs": line_runs.ORACLE_SQL}

@@ -8,10 +8,16 @@ from pyspark.sql import functions as F
 
 
 def sample_ids(rows: DataFrame, label: str, most: int) -> DataFrame:
-    """At most ``most`` ids of each label value, in the order of a hash of the id."""
+    """At most ``most`` ids of each label value, those whose hash is least.
+
+    Counting first keeps what is ordered near ``most`` rows a label at any size of the table.
+    """
+    rows = rows.withColumn("__order", F.pmod(F.xxhash64(F.col("doc_id"), F.lit(7)), F.lit(1 << 30)))
+    counts = rows.groupBy(label).agg(F.count("*").alias("__rows"))
+    enough = F.least(F.lit(1.0), (F.lit(1.25 * most) + 100) / F.col("__rows")) * (1 << 30)
+    few = rows.join(F.broadcast(counts), label).where(F.col("__order") <= enough)  # counts: a row for each label value
     order = Window.partitionBy(label).orderBy("__order", "doc_id")
-    picked = rows.withColumn("__order", F.xxhash64(F.col("doc_id"), F.lit(7))).withColumn("__n", F.row_number().over(order))
-    return picked.where(F.col("__n") <= most).drop("__order", "__n")
+    return few.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__order", "__n", "__rows")
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int, train=None) -> list[tuple[str, int]]:
