@@ -76,7 +76,8 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
 
     mixed = repeated.where("mixed").groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "windows")).alias("at"))
     wanted = mixed.select("at.rid", F.struct("at.start", "at.windows", "h", "ctx", "n").alias("w")).groupBy("rid").agg(F.collect_list("w").alias("wanted"))
-    contents = docs.select("rid", "text").join(wanted, "rid").select("text", "wanted").mapInArrow(lambda it: _contents(it, units), _CONTENTS)
+    # all columns of docs go along, so that this join and the caller's share one shuffle of the texts
+    contents = docs.join(wanted, "rid").mapInArrow(lambda it: _contents(it, units), _CONTENTS)
     blocks = contents.repartition("h").sortWithinPartitions("h")
     verdicts = blocks.mapInArrow(lambda it: _verdicts(it, index, block_bytes), _REPEATS)
 

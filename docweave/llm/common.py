@@ -45,7 +45,7 @@ def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 4 << 20):
+def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 20):
     """Cuts batches so that each has about ``most`` bytes of text (a longer text stays whole)."""
     from docweave.llm.rolling import slices, text_buffers
 

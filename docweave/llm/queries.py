@@ -21,6 +21,13 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import neighbours
+
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where(F.col("vec_id") % 20 == 0), k=20)
+
+
 def op2_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import suffix_trees
 

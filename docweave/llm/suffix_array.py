@@ -21,7 +21,7 @@ from docweave.llm.anchors import Contents, Units, find_repeats, runs, union_of_r
 from docweave.llm.common import small_batches
 
 
-def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 100, block_bytes: int = 3 << 20, keep_text: bool = True) -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 100, block_bytes: int = 1 << 20, keep_text: bool = True) -> DataFrame:
     """Removes each byte that lies in a string of ``length`` bytes which also starts anywhere else.
 
     Texts are UTF-8 bytes and matches never cross rows.  Returns one row for each row of
@@ -58,7 +58,7 @@ def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 10
             most = 6 if keep_text else 4
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, t) for c, t in zip(columns[:most], kinds, strict=False))], names=["doc_id", *names[:most]])
 
-    return numbered.join(ranges, "rid", "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
+    return numbered.join(ranges, "rid", "left").mapInArrow(run, schema)
 
 
 def repeated_windows(contents: Contents, length: int, block: int):

@@ -20,7 +20,7 @@ from docweave.llm.anchors import Contents, Units, find_repeats, runs, union_of_r
 from docweave.llm.common import small_batches
 
 
-def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int = 4 << 20, keep_text: bool = True) -> DataFrame:
+def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int = 1 << 20, keep_text: bool = True) -> DataFrame:
     """Removes each word that lies in a run of ``length`` words which also starts anywhere else.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Returns one row for each row of ``docs``:
@@ -61,7 +61,7 @@ def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int
                 names += ["kept", "removed"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return numbered.join(ranges, "rid", "left").select("doc_id", "text", "ranges").mapInArrow(run, schema)
+    return numbered.join(ranges, "rid", "left").mapInArrow(run, schema)
 
 
 def repeated_windows(contents: Contents, length: int, most_suffixes: int = 1 << 20):
