@@ -53,4 +53,5 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", most: i
         if batch.num_rows:
             _, offsets = text_buffers(batch.column(text))
             for a, z in slices(offsets, most):
-                yield batch.slice(a, z - a)
+                for i in range(a, z, 1 << 15):
+                    yield batch.slice(i, min(z - i, 1 << 15))

@@ -60,6 +60,12 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_array.dedup_bytes(_table(spark, sf_dir, "documents"), length=200, keep_text=False)
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import minhash
+
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "class_id", "keeps")
+
+
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import line_runs
 
