@@ -34,6 +34,12 @@ def op2_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_trees.dedup_words(_table(spark, sf_dir, "documents"), length=35, keep_text=False)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import toxicity
+
+    return toxicity.held_out_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import quality
 
@@ -54,6 +60,12 @@ def op6_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), digest.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op7_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from docweave.llm import languages
+
+    return languages.held_out_languages(_table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import suffix_array
 
