@@ -230,14 +230,14 @@ def tokenizer(path: str) -> WordBpe:
 
 
 def encode_documents(docs: DataFrame, vocabulary: str, keep_text: bool = True) -> DataFrame:
-    """Adds doc_id's token ids and decoded text (or their digests) for each row of ``docs``.
+    """Token ids and decoded text (or their digests) of each row of ``docs``.
 
-    Returns doc_id, n_tokens, ids (array) and decoded if ``keep_text``, and always ids_sha256 and
-    decoded_sha256.  Each row is on its own: no shuffle, repeated rows give repeated results, a
+    Returns doc_id, n_tokens, ids_sha256 and decoded_sha256, and with ``keep_text`` also ids
+    (decimal, joined by spaces) and decoded.  Each row is on its own: no shuffle, repeated rows give repeated results, a
     null text is an empty one (no tokens), texts of any length are handled whole, and further
     columns of ``docs`` are not read.  ``vocabulary`` is a path that each worker can read.
     """
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if keep_text else "")
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids string, decoded string" if keep_text else "")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(vocabulary)
@@ -247,13 +247,13 @@ def encode_documents(docs: DataFrame, vocabulary: str, keep_text: bool = True) -
                 ids, decoded, n = bpe.encode(text or "")
                 values = (doc_id, n, sha256_hex(ids.encode()), sha256_hex(decoded.encode()))
                 if keep_text:
-                    values += ([int(x) for x in ids.split()], decoded)
+                    values += (ids, decoded)
                 for column, value in zip(rows, values, strict=False):
                     column.append(value)
             arrays = [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.string()), pa.array(rows[3], pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_text:
-                arrays += [pa.array(rows[4], pa.list_(pa.int32())), pa.array(rows[5], pa.string())]
+                arrays += [pa.array(rows[4], pa.string()), pa.array(rows[5], pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 

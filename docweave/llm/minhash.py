@@ -167,6 +167,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("keeps", F.lit(True)).alias("keeps"), "rid")
 
 
+def one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, but for the later members of each class.
+
+    ``docs`` is read twice and must be a scan that gives its rows in the same partitions each time.
+    """
+    later = near_duplicates(docs, **options).where("NOT keeps").select(F.col("rid").alias("__rid"))
+    return with_row_id(docs, "__rid").join(later, "__rid", "left_anti").drop("__rid")
+
+
 def _across(at: DataFrame, possible, firsts: bool) -> DataFrame:
     """Pairs of bucket mates of different classes: with the first of each class only, or all of them.
 

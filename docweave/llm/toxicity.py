@@ -180,6 +180,17 @@ def score_documents(docs: DataFrame, model: NeighbourVotes, threshold: float = 0
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def without_toxic(docs: DataFrame, model: NeighbourVotes, threshold: float = 0.7) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose text scores under ``threshold``."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches):
+            clean = [model.score(t)[0] < threshold for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def held_out_scores(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """Learns from rows outside fold 1 of 3 and scores all rows."""
     model = fit(docs, labels, train=fold(F.col("doc_id"), 3) != 1, **options)
