@@ -1,0 +1 @@
+"""Column functions: paths, languages, media types, arrays, texts and vectors."""

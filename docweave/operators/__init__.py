@@ -1,0 +1 @@
+"""DataFrame operators: selection, batching, regrouping, updates, reports and search."""

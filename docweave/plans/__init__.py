@@ -1,0 +1 @@
+"""Whole dataflows, plug-ins, named queries and their SQL."""

@@ -1,0 +1 @@
+"""Reading and writing of documents, batch files and artifacts."""

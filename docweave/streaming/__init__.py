@@ -1,0 +1 @@
+"""Progress signals, in batch and as a stream."""
