@@ -101,3 +101,18 @@ def find_near(docs: DataFrame, items: DataFrame, length: int = 10, slop: int = 5
     y = shifted("y").withColumn("cell", F.floor(F.col("at_y") / (slop + 1)))
     near = x.join(y, ["rid", "words", "cell"]).where(F.abs(F.col("at_x") - F.col("at_y")) <= slop).select("rid", "words").distinct()
     return numbered.select("rid", "doc_id").join(near, "rid").select("doc_id", "words")
+
+
+#: The result of op6 in DuckDB's SQL.
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM documents),
+b AS (SELECT item_id::VARCHAR AS item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS ws FROM benchmark),
+bw AS (SELECT DISTINCT item_id, list_slice(ws, i, i + 9) AS win FROM (SELECT item_id, ws, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM bw),
+dw AS (SELECT doc_id, n, i, list_slice(ws, i, i + n - 1) AS win FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS i FROM d, sizes WHERE len(ws) >= n)),
+h AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (win)),
+p AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(generate_series(i, i + n - 1)) AS i FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, item_id FROM h) GROUP BY doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (doc_id) LEFT JOIN t USING (doc_id)
+"""

@@ -90,6 +90,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from docweave.llm import line_runs
+    from docweave.llm import line_runs, phrase_index, suffix_array, suffix_trees
 
-    return {"op10_line_runs": line_runs.ORACLE_SQL}
+    return {"op2_suffix_trees": suffix_trees.ORACLE_SQL, "op6_phrase_index": phrase_index.ORACLE_SQL, "op8_suffix_array": suffix_array.ORACLE_SQL, "op10_line_runs": line_runs.ORACLE_SQL}

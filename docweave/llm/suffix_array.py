@@ -134,3 +134,18 @@ def bounded_prefixes(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarr
         if not len(low):
             break
     return bounded[:n], where
+
+
+#: The result of op8 in DuckDB's SQL, on the hexadecimal digits of the bytes.
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, h, unnest(generate_series(1, length(h) // 2 - 199)) AS i FROM d WHERE length(h) >= 400),
+w AS (SELECT doc_id, i, md5_number(substring(h, 2 * i - 1, 400)) AS m FROM s),
+r AS (SELECT doc_id, i FROM w SEMI JOIN (SELECT m FROM w GROUP BY m HAVING count(*) > 1) USING (m)),
+e AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS prv FROM r),
+b AS (SELECT doc_id, i, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e WHERE prv IS NULL OR i - prv > 200),
+z AS (SELECT doc_id, i + 200 AS j, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM e WHERE nxt IS NULL OR nxt - i > 200),
+spans AS (SELECT b.doc_id, b.i, z.j, b.k, lag(z.j, 1, 1) OVER (PARTITION BY b.doc_id ORDER BY b.k) AS from_, row_number() OVER (PARTITION BY b.doc_id ORDER BY b.k DESC) AS last FROM b JOIN z ON b.doc_id = z.doc_id AND b.k = z.k),
+a AS (SELECT doc_id, count(*) AS n_spans, sum(j - i) AS n_removed, string_agg(substring(h, (2 * from_ - 1)::BIGINT, (2 * (i - from_))::BIGINT), '' ORDER BY k) || max(CASE WHEN last = 1 THEN substring(h, (2 * j - 1)::BIGINT) END) AS kept FROM spans JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)
+"""

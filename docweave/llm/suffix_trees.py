@@ -143,3 +143,15 @@ def deep_leaves(names: np.ndarray, suffix: np.ndarray, weight: np.ndarray, lengt
     out = np.zeros(len(suffix), bool)
     out[order] = deep
     return out | (weight > 1)
+
+
+#: The result of op2 in DuckDB's SQL.
+ORACLE_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 34)) AS i FROM d WHERE len(ws) >= 35),
+w AS (SELECT doc_id, i, count(*) OVER (PARTITION BY array_to_string(list_slice(ws, i, i + 34), ' ')) AS n FROM s),
+gone AS (SELECT DISTINCT doc_id, i + k AS i FROM w, (SELECT unnest(generate_series(0, 34)) AS k) WHERE n > 1),
+t AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+a AS (SELECT t.doc_id, count(*) AS n_words, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY t.i) FILTER (WHERE gone.i IS NULL) AS kept FROM t LEFT JOIN gone ON gone.doc_id = t.doc_id AND gone.i = t.i GROUP BY t.doc_id)
+SELECT d.doc_id, coalesce(n_words, 0)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN a USING (doc_id)
+"""
