@@ -12,7 +12,9 @@ anchors at equal places; a run of windows with one anchor is a context.  The ste
 5. the places of every context get its repeated windows, as ranges of units for each text.
 
 Joins are keyed by hashes of content or by rows and left to adaptive skew handling; groups are
-never collected except in step 4, whose groups hold distinct contents around one anchor.
+never collected except in step 4, whose groups hold distinct contents around one anchor.  Anchors
+that occur more than ``hot`` times are left out of step 4: the windows of their contents are
+counted by two hashes instead, pre-aggregated, so that no task holds such a group.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from docweave.llm.common import shared_folder, small_batches, with_row_id, writt
 
 _CONTEXTS = "rid long, start int, windows int, h long, ctx long"
 _CONTENTS = "h long, ctx long, n long, windows int, content binary"
+_WINDOWS = "h long, a long, b long, n long, ctx long, first int"
 _REPEATS = "h long, ctx long, first int, last int"
 
 
@@ -48,6 +51,13 @@ class Units:
         starts, ends, borders = rolling.words(data, offsets)
         return rolling.Prefix(rolling.byte_prefix(data).hash(starts, ends)), borders, starts, ends
 
+    def symbols(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """A number for each unit; equal for equal units."""
+        if not self.words:
+            return data.astype(np.uint64)
+        starts, ends, _ = rolling.words(data, offsets)
+        return rolling.byte_prefix(data).hash(starts, ends)
+
 
 @dataclass
 class Contents:
@@ -61,7 +71,7 @@ class Contents:
     offsets: np.ndarray
 
 
-def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tuple[np.ndarray, np.ndarray, np.ndarray]], block_bytes: int) -> tuple[DataFrame, DataFrame]:
+def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tuple[np.ndarray, np.ndarray, np.ndarray]], block_bytes: int, hot: int) -> tuple[DataFrame, DataFrame]:
     """(docs with rid, ranges of repeated windows as rid and an array of (first, last) units).
 
     ``index`` gets contents of whole anchors, about ``block_bytes`` at a time, and returns the
@@ -71,15 +81,22 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
     folder = shared_folder(spark)
     docs = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = written(docs.select("rid", "text").mapInArrow(lambda it: _contexts(it, units), _CONTEXTS), "contexts", folder)
-    anchors = found.groupBy("h").agg(F.count("*").alias("times"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("times > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"))
+    anchors = found.groupBy("h").agg(F.count("*").alias("times"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("times > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"), (F.col("times") > hot).alias("many"))
     repeated = written(found.join(anchors, "h"), "repeated", folder)
 
-    mixed = repeated.where("mixed").groupBy("h", "ctx").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "windows")).alias("at"))
-    wanted = mixed.select("at.rid", F.struct("at.start", "at.windows", "h", "ctx", "n").alias("w")).groupBy("rid").agg(F.collect_list("w").alias("wanted"))
-    # all columns of docs go along, so that this join and the caller's share one shuffle of the texts
-    contents = docs.join(wanted, "rid").mapInArrow(lambda it: _contents(it, units), _CONTENTS)
+    mixed = repeated.where("mixed").groupBy("h", "ctx", "many").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "windows")).alias("at"))
+
+    def wanted(where: str) -> DataFrame:
+        """docs with the contents that are wanted of them; all columns go along, so that this join and the caller's share one shuffle of the texts."""
+        some = mixed.where(where).select("at.rid", F.struct("at.start", "at.windows", "h", "ctx", "n").alias("w"))
+        return docs.join(some.groupBy("rid").agg(F.collect_list("w").alias("wanted")), "rid")
+
+    contents = wanted("NOT many").mapInArrow(lambda it: _contents(it, units), _CONTENTS)
     blocks = contents.repartition("h").sortWithinPartitions("h")
     verdicts = blocks.mapInArrow(lambda it: _verdicts(it, index, block_bytes), _REPEATS)
+    counted = written(wanted("many").mapInArrow(lambda it: _windows(it, units), _WINDOWS), "windows", folder)
+    again = counted.groupBy("h", "a", "b").agg(F.sum("n").alias("times")).where("times > 1").select("h", "a", "b")
+    verdicts = verdicts.unionByName(counted.join(again, ["h", "a", "b"]).select("h", "ctx", "first", F.col("first").alias("last")))
 
     whole = repeated.where("NOT mixed").select("rid", F.col("start").alias("first"), (F.col("start") + F.col("windows") + F.lit(units.length - 2)).alias("last"))
     parts = repeated.where("mixed").select("rid", "start", "h", "ctx").join(verdicts, ["h", "ctx"])
@@ -104,15 +121,20 @@ def _contexts(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.Re
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["rid", "start", "windows", "h", "ctx"])
 
 
+def _wanted(batch: pa.RecordBatch, borders: np.ndarray):
+    """Of each wanted content: first unit and number of windows; h, ctx and n."""
+    lists = batch.column("wanted")
+    rows = np.repeat(np.arange(len(batch)), np.asarray(lists.value_lengths()))
+    start, windows, h, ctx, n = lists.flatten().flatten()
+    return borders[rows] + np.asarray(start), np.asarray(windows), h, ctx, n
+
+
 def _contents(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
         data, offsets = rolling.text_buffers(batch.column("text"))
         _, borders, starts, ends = units.cut(data, offsets)
-        lists = batch.column("wanted")
-        rows = np.repeat(np.arange(len(batch)), np.asarray(lists.value_lengths()))
-        start, windows, h, ctx, n = lists.flatten().flatten()
-        first = borders[rows] + np.asarray(start)
-        last = first + np.asarray(windows) + units.length - 2
+        first, windows, h, ctx, n = _wanted(batch, borders)
+        last = first + windows + units.length - 2
         if units.words:
             first, last = starts[first], ends[last]
         else:
@@ -120,7 +142,22 @@ def _contents(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.Re
         sizes = np.zeros(len(first) + 1, np.int32)
         np.cumsum(last - first, out=sizes[1:])
         content = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(sizes), pa.py_buffer(gather(data, first, last))])
-        yield pa.RecordBatch.from_arrays([h, ctx, n, windows, content], names=["h", "ctx", "n", "windows", "content"])
+        yield pa.RecordBatch.from_arrays([h, ctx, n, pa.array(windows), content], names=["h", "ctx", "n", "windows", "content"])
+
+
+def _windows(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
+    """Two hashes of each window of the wanted contents."""
+    for batch in small_batches(batches):
+        data, offsets = rolling.text_buffers(batch.column("text"))
+        prefix, borders, _, _ = units.cut(data, offsets)
+        other = rolling.Prefix(rolling.mix(units.symbols(data, offsets)))
+        first, windows, h, ctx, n = _wanted(batch, borders)
+        of = np.repeat(np.arange(len(first)), windows)
+        place = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
+        at = first[of] + place
+        hashes = [pa.array(p.hash(at, at + units.length).view(np.int64)) for p in (prefix, other)]
+        take = pa.array(of)
+        yield pa.RecordBatch.from_arrays([h.take(take), *hashes, n.take(take), ctx.take(take), pa.array(place.astype(np.int32))], names=["h", "a", "b", "n", "ctx", "first"])
 
 
 def gather(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:

@@ -21,7 +21,7 @@ from docweave.llm.anchors import Contents, Units, find_repeats, runs, union_of_r
 from docweave.llm.common import small_batches
 
 
-def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 100, block_bytes: int = 1 << 20, keep_text: bool = True) -> DataFrame:
+def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 50, block_bytes: int = 1 << 20, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
     """Removes each byte that lies in a string of ``length`` bytes which also starts anywhere else.
 
     Texts are UTF-8 bytes and matches never cross rows.  Returns one row for each row of
@@ -33,7 +33,7 @@ def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 10
     """
     if length % block:
         raise ValueError("length must be a multiple of block")
-    numbered, ranges = find_repeats(docs, Units(length, k, False), lambda c: repeated_windows(c, length, block), block_bytes)
+    numbered, ranges = find_repeats(docs, Units(length, k, False), lambda c: repeated_windows(c, length, block), block_bytes, hot)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept binary, spans array<struct<first:long,last:long>>" if keep_text else "")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

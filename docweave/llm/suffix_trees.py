@@ -20,7 +20,7 @@ from docweave.llm.anchors import Contents, Units, find_repeats, runs, union_of_r
 from docweave.llm.common import small_batches
 
 
-def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int = 1 << 20, keep_text: bool = True) -> DataFrame:
+def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int = 1 << 20, hot: int = 20_000, keep_text: bool = True) -> DataFrame:
     """Removes each word that lies in a run of ``length`` words which also starts anywhere else.
 
     Words are ``[^\\x20\\x09-\\x0D]+``, unchanged.  Returns one row for each row of ``docs``:
@@ -30,7 +30,7 @@ def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int
     row is another text, so its long runs repeat; texts under ``length`` words keep all.  An
     empty table gives an empty result; further columns are not read.
     """
-    numbered, ranges = find_repeats(docs, Units(length, k, True), lambda c: repeated_windows(c, length), block_bytes)
+    numbered, ranges = find_repeats(docs, Units(length, k, True), lambda c: repeated_windows(c, length), block_bytes, hot)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + (", kept string, removed array<struct<first:long,last:long>>" if keep_text else "")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

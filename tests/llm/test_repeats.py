@@ -45,11 +45,11 @@ def rows(spark, texts):
     return spark.createDataFrame([(i, t, "kept", i) for i, t in enumerate(texts)], "doc_id long, text string, rid string, h long")
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_words(spark, seed):
+@pytest.mark.parametrize(("seed", "hot"), [(1, 20_000), (2, 20_000), (3, 3)])
+def test_words(spark, seed, hot):
     texts = planted(seed)
     split = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
-    got = {r.doc_id: r for r in dedup_words(rows(spark, texts), length=12, k=4).collect()}
+    got = {r.doc_id: r for r in dedup_words(rows(spark, texts), length=12, k=4, hot=hot).collect()}
     assert len(got) == len(texts)
     for i, (words, gone) in enumerate(zip(split, brute(split, 12), strict=True)):
         kept = " ".join(w for w, g in zip(words, gone, strict=True) if not g)
@@ -57,11 +57,11 @@ def test_words(spark, seed):
         assert got[i].kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
 
 
-@pytest.mark.parametrize(("seed", "block"), [(1, 10), (2, 20), (3, 40)])
-def test_bytes(spark, seed, block):
+@pytest.mark.parametrize(("seed", "block", "hot"), [(1, 10, 20_000), (2, 20, 20_000), (3, 40, 20_000), (4, 5, 3)])
+def test_bytes(spark, seed, block, hot):
     texts = planted(seed)
     data = [(t or "").encode() for t in texts]
-    got = {r.doc_id: r for r in dedup_bytes(rows(spark, texts), length=40, k=8, block=block, block_bytes=2000).collect()}
+    got = {r.doc_id: r for r in dedup_bytes(rows(spark, texts), length=40, k=8, block=block, block_bytes=2000, hot=hot).collect()}
     assert len(got) == len(texts)
     for i, (whole, gone) in enumerate(zip(data, brute(data, 40), strict=True)):
         kept = bytes(b for b, g in zip(whole, gone, strict=True) if not g)
