@@ -13,7 +13,7 @@ ALIASES = {
     ".jpf": ".jp2", ".jpx": ".jp2", ".rgba": ".png", ".svm": ".wmf", ".uof": ".xml", ".uop": ".xml", ".uos": ".xml", ".uot": ".xml",
 }
 #: Extensions with further types beside the standard one (fixed values).
-MORE = {".jpg": ["image/pjpeg"], ".xml": ["text/xml", "application/xml"], ".md": ["text/markdown"], ".jp2": ["image/jp2"], ".wmf": ["image/wmf"], ".docx": ["application/vnd.openxmlformats-officedocument.wordprocessingml.document"], ".odt": ["application/vnd.oasis.opendocument.text"], ".wav": ["audio/x-wav", "audio/wav"]}
+MORE = {".jpg": ["image/jpg"], ".xml": ["text/xml", "application/xml"], ".md": ["text/markdown"], ".jp2": ["image/jp2"], ".wmf": ["image/wmf"], ".docx": ["application/vnd.openxmlformats-officedocument.wordprocessingml.document"], ".odt": ["application/vnd.oasis.opendocument.text"], ".wav": ["audio/x-wav", "audio/wav"]}
 #: Content types that are transcribed (fixed values).
 AUDIO_TYPES = [
     "audio/aac", "audio/aiff", "audio/mp4", "audio/mpeg", "audio/ogg", "audio/vnd.wave", "audio/wav", "audio/wave", "audio/x-wav", "audio/x-pn-wav", "video/mp4", "video/mpeg", "video/mov",
@@ -27,7 +27,7 @@ def types_of(extension: str) -> list[str]:
     """Sorted media types of an extension; an unknown one raises."""
     name = ALIASES.get(extension, extension)
     known = mimetypes.MimeTypes(filenames=()).types_map
-    found = {m for strict in known for m in ([strict[name]] if name in strict else [])} | set(MORE.get(name, []))
+    found = ({known[True][name]} if name in known[True] else set()) | set(MORE.get(name, []))
     if not found:
         raise ValueError(f"unsupported mimetype {extension}")
     return sorted(found)
@@ -36,7 +36,7 @@ def types_of(extension: str) -> list[str]:
 def table(spark: SparkSession) -> DataFrame:
     """extension, content_type; a dimension of fixed size."""
     known = mimetypes.MimeTypes(filenames=()).types_map
-    names = sorted({e for strict in known for e in strict} | set(ALIASES) | set(MORE))
+    names = sorted(set(known[True]) | set(ALIASES) | set(MORE))
     return spark.createDataFrame([(e, m) for e in names for m in types_of(e)], "extension string, content_type string")
 
 
