@@ -57,10 +57,16 @@ class TokenAutomaton:
         self.lost: dict[int, int] = {}  # u and v of a merge: its number
         for symbol in base:
             self._add(symbol, -1, -1, -1)
+        never: set[str] = set()
         for k, (a, b) in enumerate(merges):
+            if a + b in self.number or a + b in never:
+                raise ValueError(f"merge {k} makes a known token: {a!r} {b!r}")
             u, v = self.number.get(a), self.number.get(b)
-            if u is None or v is None or a + b in self.number:
-                raise ValueError(f"merge {k} joins unknown parts or makes a known token: {a!r} {b!r}")
+            if (u is None and a not in never) or (v is None and b not in never):
+                raise ValueError(f"merge {k} joins unknown parts: {a!r} {b!r}")
+            if u is None or v is None or not self._walk(u, v, k):
+                never.add(a + b)  # no state has the arcs u, v in a row, so the merge has nothing to join
+                continue
             self.lost[u << 20 | v] = k
             self.first[u] = min(self.first[u], k)
             self._add(a + b, k, u, v)
@@ -88,8 +94,9 @@ class TokenAutomaton:
             self._seen[key] = known
         return known
 
-    def _walk(self, u: int, t: int) -> bool:
-        merges, born, first, lost = 1 << 30, self.born, self.first, self.lost
+    def _walk(self, u: int, t: int, merges: int = 1 << 30) -> bool:
+        """The same after so many merges."""
+        born, first, lost = self.born, self.first, self.lost
         while True:
             if lost.get(u << 20 | t, merges) < merges:
                 return False
