@@ -82,8 +82,8 @@ def _points(flat, row, seed, count, until, low: int, size: int, registers: int)
         np.minimum.at(flat, (row * registers + register)[counts], time[counts])
 
 
-def sketch(batches: Iterable[pa.RecordBatch], shingle: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    """doc_id, rid, a digest of the multiset (a, b, n) and its band keys; rows without words are left out."""
+def sketch(batches: Iterable[pa.RecordBatch], shingle: int, registers: int) -> Iterator[pa.RecordBatch]:
+    """doc_id, rid, a digest of the multiset (a, b, n) and its registers, 16 bits each; rows without words are left out."""
     for batch in small_batches(batches):
         row, hashes, count = bags(batch.column("text"), shingle)
         kept = np.unique(row)
@@ -94,13 +94,35 @@ def sketch(batches: Iterable[pa.RecordBatch], shingle: int, bands: int, rows: in
         for d, salt in zip(digests, (1, 2), strict=True):
             np.add.at(d, row, rolling.mix(hashes + np.uint64((salt * int(_STEP)) % 2**64)) * count.astype(np.uint64))
         total = np.bincount(row, count, n_rows).astype(np.int64)
-        times = signatures(row, hashes, count, n_rows, bands * rows)[kept].view(np.uint64).reshape(len(kept), bands, rows)
-        key = np.zeros((len(kept), bands), np.uint64) + np.arange(bands, dtype=np.uint64)
-        for j in range(rows):
-            key = rolling.mix(key * _STEP + times[:, :, j])
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(kept) + 1, dtype=np.int32) * bands), pa.array(key.reshape(-1).view(np.int64)))
+        times = signatures(row, hashes, count, n_rows, registers)[kept].view(np.uint64)
+        packed = (rolling.mix(times) >> np.uint64(48)).astype(">u2").tobytes()
+        offsets = pa.py_buffer((np.arange(len(kept) + 1) * 2 * registers).astype(np.int32))
+        binary = pa.Array.from_buffers(pa.binary(), len(kept), [None, offsets, pa.py_buffer(packed)])
         ids = [batch.column(c).take(pa.array(kept)) for c in ("doc_id", "rid")]
-        yield pa.RecordBatch.from_arrays([*ids, *(pa.array(d[kept].view(np.int64)) for d in digests), pa.array(total[kept]), lists], names=["doc_id", "rid", "a", "b", "n", "bands"])
+        yield pa.RecordBatch.from_arrays([*ids, *(pa.array(d[kept].view(np.int64)) for d in digests), pa.array(total[kept]), binary], names=["doc_id", "rid", "a", "b", "n", "registers"])
+
+
+def overlaps(bag: tuple[np.ndarray, np.ndarray, np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Weighted Jaccard similarity of pairs of rows of (row, hash, count) in row order."""
+    row, hashes, count = bag
+    out = np.zeros(len(left))
+    most = int(max(left.max(initial=-1), right.max(initial=-1))) + 1
+    at = np.searchsorted(row, np.arange(most + 1))
+    sizes = (at[left + 1] - at[left]) + (at[right + 1] - at[right])
+    cuts = np.searchsorted(np.cumsum(sizes), np.arange(0, sizes.sum() + 1, 1 << 19))
+    for i, j in zip(cuts, [*cuts[1:], len(left)], strict=True):
+        if i == j:
+            continue
+        first, last = np.r_[at[left[i:j]], at[right[i:j]]], np.r_[at[left[i:j] + 1], at[right[i:j] + 1]]
+        n = last - first
+        item = np.repeat(first, n) + np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        pair = np.repeat(np.r_[np.arange(j - i), np.arange(j - i)], n)
+        order = np.lexsort((hashes[item], pair))
+        pair, h, c = pair[order], hashes[item][order], count[item][order]
+        same = np.flatnonzero((pair[1:] == pair[:-1]) & (h[1:] == h[:-1]))
+        shared = np.bincount(pair[same], np.minimum(c[same], c[same + 1]), j - i)
+        out[i:j] = shared / np.maximum(np.bincount(pair, c, j - i) - shared, 1)
+    return out
 
 
 def similarities(left, right, shingle: int) -> np.ndarray:
@@ -116,7 +138,7 @@ def similarities(left, right, shingle: int) -> np.ndarray:
     return np.where(total > 0, shared / np.maximum(total, 1), 0.0)
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 4) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 4, block_texts: int = 2000) -> DataFrame:
     """Classes of near-duplicate documents: doc_id, class_id, keeps and rid for each row of ``docs``.
 
     Two texts are linked if the multisets of their runs of ``shingle`` words (split by white
@@ -124,42 +146,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     connect, class_id its least doc_id, and ``keeps`` marks its first row by doc_id.  Rows with
     equal multisets are one text from the start.  Candidates share a band of ``rows`` registers
     (of ``bands`` bands a pair of 0.8 misses all with a probability under 1e-7) and every link is
-    verified on the texts.  Bucket mates are compared with the bucket's first text, then across
-    the classes found so far until no two classes of one bucket hold a pair not compared.
+    verified on the texts: first each text with the text of its bucket that has most mates, then
+    the texts of buckets that still hold several classes with each other, in blocks of about
+    ``block_texts`` texts of similar size, where a pair's registers allow the similarity.
     Null texts and texts without words are in no class but their own, texts under ``shingle``
     words are one shingle, an empty table gives an empty result; further columns are not read.
     """
     folder = shared_folder(docs.sparkSession)
     docs = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
-    sketched = written(docs.mapInArrow(lambda it: sketch(it, shingle, bands, rows), "doc_id long, rid long, a long, b long, n long, bands array<long>"), "sketches", folder)
+    sketched = written(docs.mapInArrow(lambda it: sketch(it, shingle, bands * rows), "doc_id long, rid long, a long, b long, n long, registers binary"), "sketches", folder)
     texts = sketched.groupBy("a", "b", "n").agg(F.min(F.struct("doc_id", "rid")).alias("head"))
     of = sketched.select("doc_id", "rid", "a", "b", "n").join(texts, ["a", "b", "n"])
     members = written(of.select("doc_id", "rid", F.col("head.rid").alias("text_rid"), F.col("head.doc_id").alias("text_id")), "members", folder)
-    own = sketched.join(members.where("rid = text_rid").select("rid"), "rid", "left_semi")
-    placed = own.select("rid", "n", F.explode("bands").alias("band"))
-    heads = placed.groupBy("band").agg(F.count("*").alias("times"), F.min(F.struct("rid", "n")).alias("head")).where("times > 1").select("band", "head")
-    buckets = written(placed.join(heads, "band"), "buckets", folder)
-    possible = lambda n, m: F.least(n, m) >= similarity * F.greatest(n, m)
-    pairs = buckets.where((F.col("rid") != F.col("head.rid")) & possible(F.col("n"), F.col("head.n"))).select(F.col("rid").alias("x"), F.col("head.rid").alias("y")).distinct()
-    links, done, turn = None, None, 0
-    while True:
-        verified = written(_verified(docs, pairs, shingle, similarity), f"verified{turn}", folder)
-        found = verified.where("near").select("x", "y")
-        links = found if links is None else links.unionByName(found)
-        done = verified.select("x", "y") if done is None else done.unionByName(verified.select("x", "y"))
-        classes = components(links, f"{folder}/turn{turn}")
-        at = buckets.select("rid", "n", "band").join(classes.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "n", "band", F.coalesce("least", "rid").alias("least"))
-        turn += 1
-        left = _across(written(at, f"at{turn}", folder), possible, turn == 1).join(done, ["x", "y"], "left_anti")
-        left = written(left, f"left{turn}", folder)
-        if turn > 1 and left.isEmpty():
-            break
-        if turn == 1 and left.isEmpty():
-            left = written(_across(at, possible, False).join(done, ["x", "y"], "left_anti"), "left_all", folder)
-            if left.isEmpty():
-                break
-        pairs = left
-    names = classes.withColumnRenamed("node", "text_rid").withColumnRenamed("least", "class_rid")
+    own = written(sketched.join(members.where("rid = text_rid").select("rid"), "rid", "left_semi").select("rid", "n", "registers"), "texts", folder)
+    band = F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, substring(registers, i * {2 * rows} + 1, {2 * rows})))")
+    placed = own.select("rid", "n", F.explode(band).alias("band"))
+    sizes = placed.groupBy("band").agg(F.count("*").alias("times")).where("times > 1")
+    buckets = written(placed.join(sizes, "band"), "buckets", folder)
+    # the text with most mates in a bucket is nearest to what a family of copies was made from
+    mates = buckets.groupBy("rid").agg(F.sum("times").alias("mates"))
+    heads = buckets.select("rid", "n", "band").join(mates, "rid").groupBy("band").agg(F.max(F.struct("mates", "rid", "n")).alias("head"))
+    met = buckets.join(heads, "band").where((F.col("rid") != F.col("head.rid")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
+    pairs = met.select(F.col("rid").alias("x"), F.col("head.rid").alias("y")).distinct()
+    links = written(_verified(docs, pairs, shingle, similarity), "links", folder)
+    classes = components(links, f"{folder}/first")
+    at = buckets.select("rid", "band").join(classes.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "band", F.coalesce("least", "rid").alias("class"))
+    at = written(at, "classed", folder)
+    mixed = at.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("rid").alias("y")).where("lo != hi").select("band", "y")
+    joined = written(at.join(mixed, "band").select(F.col("rid").alias("x"), "y", "class"), "mixed", folder)
+    groups = components(joined.where("x != y").select("x", "y").distinct(), f"{folder}/groups")
+    found = _in_blocks(docs, own, joined, groups, shingle, similarity, block_texts, bands * rows)
+    links = written(links.unionByName(found), "all_links", folder)
+    names = components(links, f"{folder}/last").withColumnRenamed("node", "text_rid").withColumnRenamed("least", "class_rid")
     labelled = members.join(names, "text_rid", "left").select("doc_id", "rid", F.coalesce("class_rid", "text_rid").alias("class_rid"))
     firsts = labelled.groupBy("class_rid").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
     classed = labelled.join(firsts, "class_rid").select("rid", F.col("first.doc_id").alias("class_id"), (F.col("first.rid") == F.col("rid")).alias("keeps"))
@@ -167,6 +185,71 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("keeps", F.lit(True)).alias("keeps"), "rid")
 
 
+def _in_blocks(docs: DataFrame, own: DataFrame, joined: DataFrame, groups: DataFrame, shingle: int, similarity: float, block_texts: int, registers: int) -> DataFrame:
+    """Links x, y between different classes of one group (what shared buckets connect).
+
+    A size step holds the texts that may be similar enough by their number of shingles; texts go
+    to the blocks of their own and the next lower step, and steps of many texts are cut into
+    parts of ``block_texts``, each pair of which is a block of its own.
+    """
+    nodes = joined.select(F.col("x").alias("rid"), "class").distinct().join(groups.withColumnRenamed("node", "rid"), "rid").join(own, "rid")
+    step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / similarity)))
+    placed = nodes.withColumn("step", F.explode(F.array(step, step - 1)))
+    sizes = placed.groupBy("least", "step").agg(F.ceil(F.count("*") / F.lit(block_texts)).alias("parts"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").drop("lo", "hi")
+    part = F.pmod(F.xxhash64("rid"), F.col("parts"))
+    cut = placed.join(sizes, ["least", "step"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    blocks = cut.select("rid", "class", "n", "registers", F.struct("least", "step", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("block"))
+    # a pair of that similarity has fewer equal registers with a probability under 1e-5
+    need = similarity - 4.3 * (similarity * (1 - similarity) / registers) ** 0.5
+
+    def search(table: pa.Table) -> pa.Table:
+        x, y = _links_of_block(table.combine_chunks(), shingle, similarity, need)
+        return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+
+    return blocks.join(docs.select("rid", "text"), "rid").groupBy("block").applyInArrow(search, "x long, y long").distinct()
+
+
+def _links_of_block(table: pa.Table, shingle: int, similarity: float, need: float) -> tuple[list[int], list[int]]:
+    """Links that join classes, found by the likeliest pairs first until no pair of two classes is left."""
+    rid, n, names = (np.asarray(table.column(c)) for c in ("rid", "n", "class"))
+    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), ">u2").reshape(len(rid), -1).astype(np.uint16)
+    label = np.unique(names, return_inverse=True)[1].astype(np.int64)
+    left, right, equal = [], [], []
+    for i in range(0, len(rid), 64):
+        same = (registers[i : i + 64, None] == registers[None, i:]).mean(2)
+        p, q = np.nonzero(same >= need)
+        q = q + i
+        ok = (p + i < q) & (label[p + i] != label[q]) & (np.minimum(n[p + i], n[q]) >= similarity * np.maximum(n[p + i], n[q]))
+        left.append(p[ok] + i)
+        right.append(q[ok])
+        equal.append(same[p[ok], q[ok] - i])
+    x, y, score = np.concatenate(left), np.concatenate(right), np.concatenate(equal)
+    bag: list = []
+    for i, part in enumerate(table.column("text").combine_chunks().to_pylist() if len(x) else []):
+        _, h, c = bags(pa.array([part]), shingle)
+        bag.append((np.full(len(h), i), h, c))
+    found_x, found_y, most = [], [], 3
+    order = np.argsort(-score, kind="stable")
+    x, y = x[order], y[order]
+    while len(x):
+        # the best few pairs of each text
+        ends, at = np.r_[x, y], np.r_[np.arange(len(x)), np.arange(len(x))]
+        line = np.lexsort((at, ends))
+        begin = np.r_[True, ends[line][1:] != ends[line][:-1]]
+        rank = np.arange(len(line)) - np.maximum.accumulate(np.where(begin, np.arange(len(line)), 0))
+        turn = np.zeros(len(x), bool)
+        turn[at[line[rank < most]]] = True
+        near = overlaps(tuple(np.concatenate(c) for c in zip(*bag, strict=True)), x[turn], y[turn]) >= similarity - 1e-12
+        for a, b in zip(x[turn][near], y[turn][near], strict=True):
+            if label[a] != label[b]:
+                found_x.append(int(rid[a]))
+                found_y.append(int(rid[b]))
+                label[label == label[b]] = label[a]
+        left_over = ~turn & (label[x] != label[y])
+        x, y, most = x[left_over], y[left_over], most * 3
+    return found_x, found_y
+
+
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns as they are, but for the later members of each class.
 
@@ -176,31 +259,18 @@ def one_of_each(docs: DataFrame, **options) -> DataFrame:
     return with_row_id(docs, "__rid").join(later, "__rid", "left_anti").drop("__rid")
 
 
-def _across(at: DataFrame, possible, firsts: bool) -> DataFrame:
-    """Pairs of bucket mates of different classes: with the first of each class only, or all of them.
-
-    Buckets that hold one class, nearly all, are left out before any pair is made.
-    """
-    several = at.groupBy("band").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo != hi").select("band")
-    mates = at.join(several, "band", "left_semi")
-    others = mates.groupBy("band", "least").agg(F.min(F.struct("rid", "n")).alias("o")).select("band", "least", "o.rid", "o.n") if firsts else mates
-    others = others.select("band", F.col("rid").alias("other"), F.col("n").alias("m"), F.col("least").alias("theirs"))
-    met = mates.join(others, "band").where((F.col("least") > F.col("theirs")) & possible(F.col("n"), F.col("m")))
-    return met.select(F.greatest("rid", "other").alias("x"), F.least("rid", "other").alias("y")).distinct()
-
-
 def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """x, y, near: whether the texts of the two rows are similar enough."""
+    """The pairs whose texts are similar enough."""
 
     def run(batches):
         for batch in small_batches(batches):
             near = similarities(batch.column("text"), batch.column("other"), shingle) >= similarity - 1e-12
-            yield pa.RecordBatch.from_arrays([batch.column("x"), batch.column("y"), pa.array(near)], names=["x", "y", "near"])
+            yield batch.select(["x", "y"]).filter(pa.array(near))
 
     texts = docs.select("rid", "text")
     with_x = pairs.join(texts.withColumnRenamed("rid", "x"), "x")
     both = with_x.join(texts.withColumnRenamed("rid", "y").withColumnRenamed("text", "other"), "y")
-    return both.select("x", "y", "text", "other").mapInArrow(run, "x long, y long, near boolean")
+    return both.select("x", "y", "text", "other").mapInArrow(run, "x long, y long")
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:

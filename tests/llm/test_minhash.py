@@ -59,7 +59,7 @@ def test_small(spark):
     assert expected[904] == 903 and expected[906] == 905 and expected[901] == 901
 
 
-def test_chain_needs_rounds(spark):
+def test_chain_needs_blocks(spark):
     """Neighbours of a chain are near, its ends are not, and all may share buckets."""
     words = [f"w{i}" for i in range(120)]
     docs = [(i, " ".join([f"x{i}_{j}" if i * 4 <= j < 0 else w for j, w in enumerate(words[:100])] if i == 0 else [f"y{j}" if j < i * 3 else w for j, w in enumerate(words[:100])])) for i in range(12)]
