@@ -224,7 +224,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
                     yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(np.full(len(pairs), t, np.int32)), *(part.column(c).take(pa.array(pairs[:, 0])) for c in ("vec_id", "embedding"))], names=["block", "table", "vec_id", "embedding"])
 
     def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Exact inner products of a block's queries with the vectors of the buckets they visit."""
+        """Exact inner products of a block's queries with the vectors of the buckets they visit: the best of each query."""
         ids, asked, scores = [], [], []
         if left.num_rows and right.num_rows:
             v = matrix(left.combine_chunks().to_batches()[0])
@@ -236,18 +236,33 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
                 product[own[:, None] == vec_id[None, :]] = -np.inf
                 for i, row in enumerate(product):
                     at = np.flatnonzero(row > -np.inf) if len(row) <= k else np.flatnonzero((row >= np.partition(row, -k)[-k]) & (row > -np.inf))
-                    at = at[np.lexsort((vec_id[at], -row[at]))][:k]
-                    ids.append(vec_id[at])
-                    asked.append(np.full(len(at), own[i]))
                     # summed in one order for each pair, whatever the block
-                    scores.append((q[i] * v[at]).sum(1))
-        join = lambda x, kind: np.concatenate(x) if x else np.zeros(0, kind)
-        return pa.table({"query_id": pa.array(join(asked, np.int64)), "vec_id": pa.array(join(ids, np.int64)), "score": pa.array(join(scores, np.float64))})
+                    best = _best(vec_id[at], (q[i] * v[at]).sum(1), k)
+                    asked.append(own[i])
+                    ids.append(best[0])
+                    scores.append(best[1])
+        return pa.table({"query_id": pa.array(asked, pa.int64()), "block": pa.array([key[0].as_py()] * len(asked), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64())), "scores": pa.array(scores, pa.list_(pa.float64()))})
+
+    def merge(table: pa.Table) -> pa.Table:
+        """The best of a query's hits, as one row."""
+        ids, scores = (np.asarray(table.column(c).combine_chunks().flatten()) for c in ("ids", "scores"))
+        best = _best(ids, scores, k)
+        return pa.table({"query_id": table.column("query_id").slice(0, 1), "block": table.column("block").slice(0, 1), "ids": pa.array([best[0]], pa.list_(pa.int64())), "scores": pa.array([best[1]], pa.list_(pa.float64()))})
 
     left = indexed.mapInArrow(place, "block long, table int, bucket int, vec_id long, embedding array<double>")
     right = queries.mapInArrow(visit, "block long, table int, vec_id long, embedding array<double>")
-    hits = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(search, "query_id long, vec_id long, score double")
-    merged = hits.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "vec_id"))), 1, k)
-    ranked = merged.groupBy("query_id").agg(best.alias("near")).select("query_id", F.posexplode("near").alias("place", "x"))
-    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.s")).alias("score"))
+    kind = "query_id long, block long, ids array<long>, scores array<double>"
+    hits = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(search, kind)
+    if n_blocks > 256:  # a query's hits meet in two steps, so that none holds those of more than 256 blocks at first
+        hits = hits.groupBy("query_id", F.floor(F.col("block") / 256)).applyInArrow(merge, kind)
+    merged = hits.groupBy("query_id").applyInArrow(merge, kind)
+    ranked = merged.select("query_id", F.posexplode(F.arrays_zip("ids", "scores")).alias("place", "x"))
+    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
+
+
+def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k ids with the greatest scores, ties to the smaller id, each id once."""
+    order = np.lexsort((ids, -scores))
+    ids, scores = ids[order], scores[order]
+    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
+    return ids[first], scores[first]
