@@ -32,7 +32,14 @@ def written(df: DataFrame, name: str, folder: str) -> DataFrame:
 
 
 def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
-    """Numbers rows by partition and place; the same for every evaluation of the same scan."""
+    """Numbers rows, alike in every evaluation.
+
+    Rows of files are named by a hash of their file and their place in it, however the files are
+    split among tasks; other tables are numbered by partition and place, and must give the same
+    partitions each time.
+    """
+    if "_metadata" in docs._jdf.queryExecution().analyzed().metadataOutput().toString():
+        return docs.withColumn(name, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
