@@ -166,14 +166,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     # the text with most mates in a bucket is nearest to what a family of copies was made from
     mates = buckets.groupBy("rid").agg(F.sum("times").alias("mates"))
     heads = buckets.select("rid", "n", "band").join(mates, "rid").groupBy("band").agg(F.max(F.struct("mates", "rid", "n")).alias("head"))
-    met = buckets.join(heads, "band").where((F.col("rid") != F.col("head.rid")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
+    buckets = written(buckets.select("rid", "n", "band").join(heads, "band"), "headed", folder)
+    met = buckets.where((F.col("rid") != F.col("head.rid")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
     pairs = met.select(F.col("rid").alias("x"), F.col("head.rid").alias("y")).distinct()
     links = written(_verified(docs, pairs, shingle, similarity), "links", folder)
     classes = components(links, f"{folder}/first")
-    at = buckets.select("rid", "band").join(classes.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "band", F.coalesce("least", "rid").alias("class"))
+    at = buckets.select("rid", "band", F.col("head.rid").alias("y")).join(classes.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "band", "y", F.coalesce("least", "rid").alias("class"))
     at = written(at, "classed", folder)
-    mixed = at.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("rid").alias("y")).where("lo != hi").select("band", "y")
-    joined = written(at.join(mixed, "band").select(F.col("rid").alias("x"), "y", "class"), "mixed", folder)
+    mixed = at.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
+    joined = written(at.join(mixed, "band", "left_semi").select(F.col("rid").alias("x"), "y", "class"), "mixed", folder)
     groups = components(joined.where("x != y").select("x", "y").distinct(), f"{folder}/groups")
     found = _in_blocks(docs, own, joined, groups, shingle, similarity, block_texts, bands * rows)
     links = written(links.unionByName(found), "all_links", folder)
@@ -274,17 +275,22 @@ def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
-    """node, least: the least node that links (x, y) connect each node to, by label passing and pointer jumping."""
+    """node, least: the least node that links (x, y) connect each node to.
+
+    Each round passes the label of every node's label to its neighbours and to the nodes that
+    these have as labels, so trees are hooked at their roots and halved at the same time.
+    """
     edges = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
     edges = written(edges, "edges", folder)
     labels = written(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("least")), "labels0", folder)
     turn = 0
     while True:
         turn += 1
-        theirs = edges.join(labels.select(F.col("node").alias("y"), "least"), "y").groupBy(F.col("x").alias("node")).agg(F.min("least").alias("near"))
-        passed = labels.join(theirs, "node").select("node", F.col("least").alias("old"), F.least("least", "near").alias("step"))
-        jump = labels.select(F.col("node").alias("step"), F.col("least").alias("far"))
-        new = passed.join(jump, "step").select("node", "old", F.least("step", "far").alias("least"))
+        far = labels.join(labels.select(F.col("node").alias("least"), F.col("least").alias("far")), "least").select("node", "least", "far")
+        passed = edges.join(far.select(F.col("node").alias("y"), F.col("far").alias("new")), "y").groupBy("x").agg(F.min("new").alias("new"))
+        known = far.join(passed.withColumnRenamed("x", "node"), "node").select("node", "least", F.least("far", "new").alias("new"))
+        hooked = known.select(F.explode(F.array(F.struct("node", "new"), F.struct(F.col("least").alias("node"), F.col("new")))).alias("s")).select("s.*")
+        new = labels.withColumnRenamed("least", "old").join(hooked.groupBy("node").agg(F.min("new").alias("least")), "node")
         new = written(new, f"labels{turn}", folder)
         labels = new.select("node", "least")
         if new.where("old != least").isEmpty():
