@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.common import fold, small_batches
-from docweave.llm.samples import labelled_sample, logistic_fit
+from docweave.llm.samples import labelled_sample, logistic_fit, share_of
 
 
 class CompressionClassifier:
@@ -53,19 +53,19 @@ class CompressionClassifier:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500, dictionary_bytes: int = 112_640, level: int = 3, longest: int = 30_000, train=None) -> CompressionClassifier:
     """Fits on at most ``per_class`` labelled rows of each class, texts of up to ``longest`` characters.
 
-    Two thirds of the sample build the dictionaries and a third calibrates the scores.  ``train``
-    is a predicate that says which rows may be learned from.
+    Two thirds of the sample build the dictionaries and a third calibrates the scores, with
+    the labels' shares of all permitted labelled ids as prior and class weights.  ``train`` is a
+    predicate that says which rows may be learned from.
     """
-    rows = labelled_sample(docs, labels, label, per_class, longest, train)
+    rows, counts = labelled_sample(docs, labels, label, per_class, longest, train)
     texts = {k: [(r[0] or "").encode("utf-8", "surrogatepass") for r in rows if r[1] == k] for k in (0, 1)}
-    prior = (sum(len(v) for k, v in texts.items() if k == 1) + 1) / (sum(map(len, texts.values())) + 2)
+    prior = share_of(counts)
     parts = {k: ([t for i, t in enumerate(v) if i % 3] or v, v[::3]) for k, v in texts.items()}
     content = {k: _dictionary(v[0], dictionary_bytes, level) for k, v in parts.items()}
     model = CompressionClassifier(content[1], content[0], level, 0.0, math.log(prior / (1 - prior)), prior)
     if texts[0] and texts[1]:
         xs = [(model.difference(t), k) for k, v in parts.items() for t in v[1] if t.strip()]
-        shares = {k: len(v) for k, v in texts.items()}
-        model.slope, model.shift = logistic_fit(np.array([x for x, _ in xs]), np.array([k for _, k in xs]), shares)
+        model.slope, model.shift = logistic_fit(np.array([x for x, _ in xs]), np.array([k for _, k in xs]), counts)
     return model
 
 

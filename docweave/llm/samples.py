@@ -20,25 +20,34 @@ def sample_ids(rows: DataFrame, label: str, most: int) -> DataFrame:
     return few.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most).drop("__order", "__n", "__rows")
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int, train=None) -> list[tuple[str, int]]:
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int, train=None) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """(text, label) of at most ``most`` labelled documents for each label; texts over ``longest`` are not learned from.
 
-    Label rows that contradict each other for one id count once, by their greatest value; null labels don't count.
+    With them the number of all labelled ids of each label, whatever the size of the sample.  Label rows that contradict each other for one id count once, by their greatest value; null labels don't count.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     if train is not None:
         known = known.where(train)
-    ids = sample_ids(known.groupBy("doc_id").agg(F.max("y").alias("y")), "y", most)
+    known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
+    counts = {0: 0, 1: 0} | {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
+    ids = sample_ids(known, "y", most)
     # at most 2 * most ids, so they may be broadcast
     rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length("text") <= longest)
     rows = rows.withColumn("__n", F.xxhash64("doc_id", F.lit(11)))
     best = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text"), F.first("__n").alias("n"))
-    return [(r[0], r[1]) for r in best.orderBy("n", "doc_id").select("text", "y").collect()]
+    return [(r[0], r[1]) for r in best.orderBy("n", "doc_id").select("text", "y").collect()], counts
+
+
+def share_of(counts: dict[int, int]) -> float:
+    """Label 1's share of all labelled ids, smoothed; a half where there are none."""
+    return (counts[1] + 1) / (counts[0] + counts[1] + 2)
 
 
 def logistic_fit(x: np.ndarray, y: np.ndarray, shares: dict[int, int]) -> tuple[float, float]:
-    """Slope and shift of P(1 | x), each class weighted to its share; a Newton iteration with a small ridge."""
-    weight = np.where(y == 1, shares[1] / max(1, (y == 1).sum()), shares[0] / max(1, (y == 0).sum()))
+    """Slope and shift of P(1 | x), each class weighted to its share of ``shares``; a Newton iteration with a small ridge."""
+    # weights are one on average, so that the ridge counts alike at any number of labels
+    scale = len(y) / max(1, shares[0] + shares[1])
+    weight = scale * np.where(y == 1, shares[1] / max(1, (y == 1).sum()), shares[0] / max(1, (y == 0).sum()))
     scale = max(float(np.std(x)), 1e-9)
     z = np.stack([x / scale, np.ones_like(x)], 1)
     w = np.zeros(2)

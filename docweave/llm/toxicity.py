@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm.common import fold, small_batches
-from docweave.llm.samples import labelled_sample, logistic_fit
+from docweave.llm.samples import labelled_sample, logistic_fit, share_of
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -129,30 +129,31 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     """Indexes at most ``per_class`` labelled texts of each class (up to ``longest`` characters).
 
     The index's terms are the ``terms`` words and word starts that tell the labels apart best in
-    the sample; the scores are calibrated leaving each example out of its own vote.
+    the sample; the scores are calibrated leaving each example out of its own vote.  Prior and
+    class weights are the labels' shares of all permitted labelled ids, not of the sample.
     """
-    rows = labelled_sample(docs, labels, label, per_class, longest, train)
+    rows, counts = labelled_sample(docs, labels, label, per_class, longest, train)
     rows = [(t or "", y) for t, y in rows]
     n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
     found = (Counter(), Counter())  # texts of each label by term
     bags = []
     for text, y in rows:
-        counts: Counter = Counter()
+        bag: Counter = Counter()
         for word, n in Counter(_WORD.findall(text.lower())).items():
             for t in _terms(word, starts):
-                counts[t] += n
-        bags.append(counts)
-        found[y].update(dict.fromkeys(counts, 1))
+                bag[t] += n
+        bags.append(bag)
+        found[y].update(dict.fromkeys(bag, 1))
     frequent = {t: (found[1][t], found[0][t]) for c in found for t in c if found[1][t] + found[0][t] >= 3}
     gains = {t: log_likelihood(a, max(n1, 1), b, max(n0, 1)) for t, (a, b) in frequent.items()}
     chosen = sorted((t for t in gains if gains[t] > 10.83), key=lambda t: (-gains[t], t))[:terms]
     idf = {t: 1 + math.log((len(rows) + 1) / (sum(frequent[t]) + 1)) for t in chosen}
-    prior = (n1 + 1) / (len(rows) + 2) if rows else 0.5
+    prior = share_of(counts)
     kept = [(i, {t: c for t, c in bag.items() if t in idf}) for i, bag in enumerate(bags)]
     model = NeighbourVotes(BlockMaxIndex([c for _, c in kept], [rows[i][1] for i, _ in kept], [i for i, _ in kept], idf), starts, k, prior)
     if n1 and n0:
         share = np.array([model.vote(c, i)[0] for i, c in kept])
-        model.slope, model.shift = logistic_fit(np.log(share / (1 - share)), np.array([y for _, y in rows]), {1: n1, 0: n0})
+        model.slope, model.shift = logistic_fit(np.log(share / (1 - share)), np.array([y for _, y in rows]), counts)
         model.slope = max(model.slope, 0.0)
     return model
 

@@ -80,6 +80,19 @@ def test_nothing_to_learn(spark):
     assert toxicity.score_documents(docs, toxicity.fit(docs, one)).count() == 1
 
 
+def test_shares_are_of_all_labels(spark):
+    """A capped sample has the priors and class weights of all labelled rows."""
+    docs = spark.createDataFrame([(i, ("good fine words here " if i % 10 else "BAD!! AWFUL!! ") * 20 + f"w{i % 7}") for i in range(400)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 10 > 0).cast("int").alias("quality"), (F.col("doc_id") % 10 == 0).cast("int").alias("toxic"))
+    labels = labels.union(labels)
+    for most in (20, 1000):
+        assert abs(quality.fit(docs, labels, per_class=most).prior - 361 / 402) < 1e-9
+        assert abs(toxicity.fit(docs, labels, per_class=most, terms=50).prior - 41 / 402) < 1e-9
+    empty = docs.withColumn("text", F.lit("123"))
+    found = [toxicity.score_documents(empty, toxicity.fit(docs, labels, per_class=most, terms=50)).first().score for most in (20, 1000)]
+    assert all(s < 0.5 for s in found)
+
+
 def test_nearest_examples_are_exact():
     r = random.Random(2)
     terms = [f"t{i}" for i in range(30)]
