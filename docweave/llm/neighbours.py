@@ -229,13 +229,18 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
         if left.num_rows and right.num_rows:
             v = matrix(left.combine_chunks().to_batches()[0])
             vec_id, bucket, t = np.asarray(left.column("vec_id")), np.asarray(left.column("bucket")), left.column("table")[0].as_py()
+            by_id = np.argsort(vec_id, kind="stable")
+            v, vec_id, bucket = v[by_id], vec_id[by_id], bucket[by_id]
+            starts = np.flatnonzero(np.r_[True, vec_id[1:] != vec_id[:-1]])
             for batch in right.combine_chunks().to_batches(max_chunksize=256):
                 q, own = matrix(batch), np.asarray(batch.column("vec_id"))
                 product = q @ v.T
                 product[~found.visited(found.project(q, True)[:, t], t)[:, bucket]] = -np.inf
                 product[own[:, None] == vec_id[None, :]] = -np.inf
+                # each id's greatest product, so that rows of one id take one of the k places
+                most = product if len(starts) == len(vec_id) else np.maximum.reduceat(product, starts, axis=1)
                 for i, row in enumerate(product):
-                    at = np.flatnonzero(row > -np.inf) if len(row) <= k else np.flatnonzero((row >= np.partition(row, -k)[-k]) & (row > -np.inf))
+                    at = np.flatnonzero(row > -np.inf) if len(starts) <= k else np.flatnonzero((row >= np.partition(most[i], -k)[-k]) & (row > -np.inf))
                     # summed in one order for each pair, whatever the block
                     best = _best(vec_id[at], (q[i] * v[at]).sum(1), k)
                     asked.append(own[i])

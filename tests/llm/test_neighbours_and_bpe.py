@@ -100,3 +100,11 @@ def test_large_buckets_are_salted(spark):
     for x in nearest(frame, frame.where("vec_id % 50 = 0"), 5, tables=3, bits=4, block_rows=40, least=10).orderBy("query_id", "rank").collect():
         got.setdefault(x.query_id, []).append(x.vec_id)
     assert np.mean([len(set(got[q]) & set(expected[q])) / 5 for q in expected]) >= 0.9
+
+
+def test_copies_take_one_place(spark):
+    """Rows of one vec_id, more than k and alike or not, leave the other places to other ids."""
+    rows = [(1, [1.0, 0.0])] + [(2, [5.0, 0.0])] * 30 + [(3, [4.0, 0.001 * i]) for i in range(30)] + [(10 + i, [2.0 - 0.1 * i, 1.0]) for i in range(10)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.rank, r.vec_id) for r in nearest(frame, frame.where("vec_id = 1"), 5).orderBy("rank").collect()]
+    assert got == list(enumerate([2, 3, 10, 11, 12], 1))
