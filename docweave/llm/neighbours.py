@@ -8,6 +8,10 @@ The candidates of all tables are merged and ranked by exact inner products.
 
 For the largest inner product all vectors get one more component that makes their lengths equal;
 the nearest by Euclidean distance then have the largest inner product.
+
+Where the depth needed makes the tables' visits together as many as all vectors, probing costs no
+less than comparing each vector once, and loses neighbours: then one table is visited whole, and
+the result is exact.
 """
 
 from __future__ import annotations
@@ -157,8 +161,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
     Nearness is the inner product of the original vectors in double precision, ties to the
     smaller vec_id; a query's own vec_id is no candidate.  Both tables have vec_id and embedding.
     Every vector is indexed; only the slot width and the probing depth come from a sample of
-    ``sample`` vectors, deep enough for ``recall`` on it.  Tables of up to ``least`` vectors are
-    searched whole.  Vectors that are null, zero, or hold null or non-finite components take no
+    ``sample`` vectors, deep enough for ``recall`` on it.  Where probing that deep in all tables
+    compares no fewer vectors than there are, and for up to ``least`` vectors, one table is visited
+    whole, which finds all neighbours.  Vectors that are null, zero, or hold null or non-finite components take no
     part; where lengths differ, missing components count as zero.  Repeated rows (same vec_id and
     components) count once, of different vectors with one vec_id the nearest counts.  Empty
     tables give an empty result; further columns are not read.
@@ -193,19 +198,21 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
     counts: list[dict[bytes, int]] = [{} for _ in range(tables)]
     for key, n in listed:
         counts[key[0]][bytes(key[1:])] = n
+    total = sum(counts[0].values())
+    if found.share * tables >= 1 or total <= least:
+        # still dealt over some tens of blocks, as one table has fewer than all
+        found.share, counts, block_rows = 1.0, counts[:1], min(block_rows, max(512, total // 64))
     n_blocks = _directory(found, counts, block_rows)
-    if sum(counts[0].values()) <= least:
-        found.share = 1.0
-    home = [{b.tobytes(): i for i, b in enumerate(found.buckets[t])} for t in range(tables)]
+    home = [{b.tobytes(): i for i, b in enumerate(slots)} for slots in found.buckets]
 
     def place(batches) -> Iterator[pa.RecordBatch]:
-        """Each vector once for each table, with its block and bucket."""
+        """Each vector once for each table searched, with its block and bucket."""
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids, rows = np.asarray(batch.column("vec_id")), batch.column("keys").to_pylist()
-            number = np.array([[home[t][bytes(key[1:])] for t, key in enumerate(row)] for row in rows])
-            for t in range(tables):
+            number = np.array([[h[bytes(key[1:])] for h, key in zip(home, row)] for row in rows])  # noqa: B905
+            for t in range(len(home)):
                 salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % found.spread[t][number[:, t]]
                 block = found.blocks[t][number[:, t]] + salt
                 yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.full(len(ids), t, np.int32)), pa.array(number[:, t].astype(np.int32)), batch.column("vec_id"), batch.column("embedding")], names=["block", "table", "bucket", "vec_id", "embedding"])
@@ -216,7 +223,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
                 projected = found.project(matrix(part), True)
-                for t in range(tables):
+                for t in range(len(home)):
                     q, b = np.nonzero(found.visited(projected[:, t], t))
                     first, more = found.blocks[t][b], found.spread[t][b]
                     ahead = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)

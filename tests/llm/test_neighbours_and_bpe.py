@@ -6,7 +6,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 from docweave.llm.bpe import TokenAutomaton, decode_ids, encode_documents, tokenizer
-from docweave.llm.neighbours import nearest
+from docweave.llm.neighbours import fit, nearest
 
 DATA = "/root/testdata/sf0.1"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -108,3 +108,30 @@ def test_copies_take_one_place(spark):
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = [(r.rank, r.vec_id) for r in nearest(frame, frame.where("vec_id = 1"), 5).orderBy("rank").collect()]
     assert got == list(enumerate([2, 3, 10, 11, 12], 1))
+
+
+def test_exact_above_least(spark):
+    """Vectors without clusters lose no neighbour to probing once the table has more than ``least`` rows."""
+    r = np.random.default_rng(8)
+    rows = [(i, r.normal(size=64).tolist()) for i in range(2100)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    expected = brute(rows, [i for i, _ in rows if i % 50 == 0], 20)
+    got = {}
+    for x in nearest(frame, frame.where("vec_id % 50 = 0"), 20).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    assert got == expected
+
+
+def test_clusters_are_probed(spark, monkeypatch):
+    """Where probing compares fewer vectors, it is still what runs."""
+    r = np.random.default_rng(6)
+    centres = 10 * r.normal(size=(60, 16))
+    rows = [(i, (centres[i % 60] + 0.05 * r.normal(size=16)).tolist()) for i in range(2400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    made = []
+    monkeypatch.setattr("docweave.llm.neighbours.fit", lambda *a, f=fit: made.append(f(*a)) or made[-1])
+    expected, got = brute(rows, [i for i, _ in rows if i % 100 == 0], 10), {}
+    for x in nearest(frame, frame.where("vec_id % 100 = 0"), 10).orderBy("query_id", "rank").collect():
+        got.setdefault(x.query_id, []).append(x.vec_id)
+    assert made[0].share < 1 / 6 and len(made[0].buckets) == 6
+    assert np.mean([len(set(got[q]) & set(expected[q])) / 10 for q in expected]) >= 0.9
