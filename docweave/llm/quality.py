@@ -53,7 +53,8 @@ class CompressionClassifier:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: int = 1500, dictionary_bytes: int = 112_640, level: int = 3, longest: int = 30_000, train=None) -> CompressionClassifier:
     """Fits on at most ``per_class`` labelled rows of each class, texts of up to ``longest`` characters.
 
-    Two thirds of the sample build the dictionaries and a third calibrates the scores, with
+    Two thirds of the sample build the dictionaries (see ``_dictionary`` for classes too small to
+    train on) and a third calibrates the scores, with
     the labels' shares of all permitted labelled ids as prior and class weights.  ``train`` is a
     predicate that says which rows may be learned from.
     """
@@ -70,14 +71,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", per_class: i
 
 
 def _dictionary(samples: list[bytes], size: int, level: int) -> bytes:
-    """A trained dictionary; raw text where there is too little to train on."""
-    whole = b"\n".join(samples)
-    if len(samples) >= 50 and len(whole) >= 10 * size:
-        try:
-            return zstandard.train_dictionary(size, samples, level=level).as_bytes()
-        except zstandard.ZstdError:
-            pass
-    return whole[:size] or b"no sample of this class"
+    """A trained dictionary; where zstandard can't train one, a piece of each sampled text.
+
+    Pieces are equal parts of ``size``; what short texts leave of theirs goes to the longer ones.
+    """
+    try:
+        return zstandard.train_dictionary(size, samples, level=level).as_bytes()
+    except (zstandard.ZstdError, ValueError):
+        pieces, left = [], size
+        for i, text in enumerate(sorted(samples, key=len)):
+            pieces.append(text[: max(0, left // (len(samples) - i) - 1)])
+            left -= len(pieces[-1]) + 1
+        return b"\n".join(p for p in pieces if p) or b"no sample of this class"
 
 
 def score_documents(docs: DataFrame, model: CompressionClassifier, threshold: float = 0.3) -> DataFrame:

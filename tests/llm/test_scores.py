@@ -93,6 +93,18 @@ def test_shares_are_of_all_labels(spark):
     assert all(s < 0.5 for s in found)
 
 
+def test_small_classes_are_learned_whole():
+    """A class with less text than ten dictionaries is trained on; without training all its texts give a piece."""
+    r = random.Random(3)
+    texts = [" ".join(r.choices(["alpha", "beta", "gamma", "delta", "epsilon", "zeta"], k=80)).encode() + f" only{i}".encode() * 3 for i in range(300)]
+    found = quality._dictionary(texts, 20_000, 3)
+    assert found[:4] == b"\x37\xa4\x30\xec" and len(found) <= 20_000
+    few = [bytes([97 + i]) * (10 if i % 2 else 500) for i in range(6)]
+    made = quality._dictionary(few, 600, 3)
+    assert len(made) <= 600 and all(made.count(bytes([97 + i])) >= 10 for i in range(6))
+    assert quality._dictionary([], 600, 3) == quality._dictionary([b""], 600, 3) == b"no sample of this class"
+
+
 def test_nearest_examples_are_exact():
     r = random.Random(2)
     terms = [f"t{i}" for i in range(30)]
