@@ -250,6 +250,15 @@ def test_search(spark):
         search.nearest(vectors, asked, 1, most_queries=1)
 
 
+def test_search_takes_every_query(spark):
+    vectors = spark.createDataFrame([("x", [1.0, 0.0]), ("y", [0.0, 1.0])], "doc_id string, vector array<float>")
+    asked = spark.range(10_001).select(F.col("id").alias("query_id"), F.array(F.col("id") % 2 + F.lit(0.5), F.lit(1.0)).cast("array<float>").alias("vector"))
+    found = search.nearest(vectors, asked, 1)
+    assert found.count() == 10_001 and found.where((F.col("query_id") % 2 == 1) != (F.col("doc_id") == "x")).count() == 0
+    few = asked.where("query_id < 50")
+    assert sorted(search.nearest(vectors, few, 2, block_queries=7).collect()) == sorted(search.nearest(vectors, few, 2).collect())
+
+
 def test_registry():
     @registry.operator("test.add")
     def add(a, b, c=0):
