@@ -44,19 +44,30 @@ class Units:
     k: int
     words: bool
 
-    def cut(self, data: np.ndarray, offsets: np.ndarray):
-        """Hash of each unit as Prefix, row borders in units, start and end bytes (None for bytes)."""
+    def places(self, data: np.ndarray, offsets: np.ndarray):
+        """Row borders in units, start and end bytes of the units (None for bytes)."""
         if not self.words:
-            return rolling.byte_prefix(data), offsets, None, None
+            return offsets, None, None
         starts, ends, borders = rolling.words(data, offsets)
-        return rolling.Prefix(rolling.byte_prefix(data).hash(starts, ends)), borders, starts, ends
-
-    def symbols(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        """A number for each unit; equal for equal units."""
-        if not self.words:
-            return data.astype(np.uint64)
-        starts, ends, _ = rolling.words(data, offsets)
-        return rolling.byte_prefix(data).hash(starts, ends)
+        return borders, starts, ends
+
+    def cut(self, data: np.ndarray, offsets: np.ndarray, salt: int = 0) -> tuple[rolling.Ranges, np.ndarray]:
+        """Hashes of ranges of units (of k, and from a window to a context), and row borders in units."""
+        borders, starts, ends = self.places(data, offsets)
+        symbols = rolling.word_hashes(data, starts, ends, salt) if self.words else data
+        return rolling.Ranges(symbols, (self.k, self.length, 2 * self.length - self.k), salt), borders
+
+    def pieces(self, data: np.ndarray, offsets: np.ndarray, most: int = 1 << 20):
+        """The batch, or a long text alone in it in pieces that share no window and miss none; with each piece's first unit."""
+        if len(offsets) != 2 or len(data) <= 2 * most:
+            yield data, offsets, 0
+            return
+        _, starts, ends = self.places(data, offsets)
+        n, step = (len(starts), most // 8) if self.words else (len(data), most)
+        for a in range(0, n - self.length + 1, step):
+            z = min(a + step + self.length - 1, n)
+            part = data[starts[a] : ends[z - 1]] if self.words else data[a:z]
+            yield part, np.array([0, len(part)]), a
 
 
 @dataclass
@@ -107,17 +118,18 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
 
 def _contexts(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
-        data, offsets = rolling.text_buffers(batch.column("text"))
-        prefix, borders, _, _ = units.cut(data, offsets)
-        short = prefix.grams(units.k)
-        if len(short):
+        for data, offsets, ahead in units.pieces(*rolling.text_buffers(batch.column("text"))):
+            ranges, borders = units.cut(data, offsets)
+            short = ranges.grams(units.k)
+            if not len(short):
+                continue
             grams = np.full(borders[-1], np.uint64(2**64 - 1))
             grams[: len(short)] = short
             row, at, start, windows = rolling.owned_windows(grams, borders, units.k, units.length)
             if len(row):
-                ctx = prefix.hash(start, start + windows + units.length - 1)
+                ctx = ranges.hash(start, start + windows + units.length - 1)
                 rid = np.asarray(batch.column("rid"))[row]
-                arrays = [rid, (start - borders[row]).astype(np.int32), windows.astype(np.int32), grams[at].view(np.int64), ctx.view(np.int64)]
+                arrays = [rid, (start - borders[row] + ahead).astype(np.int32), windows.astype(np.int32), grams[at].view(np.int64), ctx.view(np.int64)]
                 yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["rid", "start", "windows", "h", "ctx"])
 
 
@@ -132,7 +144,7 @@ def _wanted(batch: pa.RecordBatch, borders: np.ndarray):
 def _contents(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
         data, offsets = rolling.text_buffers(batch.column("text"))
-        _, borders, starts, ends = units.cut(data, offsets)
+        borders, starts, ends = units.places(data, offsets)
         first, windows, h, ctx, n = _wanted(batch, borders)
         last = first + windows + units.length - 2
         if units.words:
@@ -147,17 +159,19 @@ def _contents(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.Re
 
 def _windows(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
     """Two hashes of each window of the wanted contents."""
-    for batch in small_batches(batches):
-        data, offsets = rolling.text_buffers(batch.column("text"))
-        prefix, borders, _, _ = units.cut(data, offsets)
-        other = rolling.Prefix(rolling.mix(units.symbols(data, offsets)))
-        first, windows, h, ctx, n = _wanted(batch, borders)
-        of = np.repeat(np.arange(len(first)), windows)
+    for batch in small_batches(_contents(batches, units), "content"):
+        data, offsets = rolling.text_buffers(batch.column("content"))
+        windows = np.asarray(batch.column("windows"))
+        of = np.repeat(np.arange(len(windows)), windows)
         place = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
-        at = first[of] + place
-        hashes = [pa.array(p.hash(at, at + units.length).view(np.int64)) for p in (prefix, other)]
+        hashes = []
+        for salt in (1, 2):
+            ranges, borders = units.cut(data, offsets, salt)
+            at = borders[of] + place
+            hashes.append(pa.array(ranges.hash(at, at + units.length).view(np.int64)))
         take = pa.array(of)
-        yield pa.RecordBatch.from_arrays([h.take(take), *hashes, n.take(take), ctx.take(take), pa.array(place.astype(np.int32))], names=["h", "a", "b", "n", "ctx", "first"])
+        h, ctx, n = (batch.column(c).take(take) for c in ("h", "ctx", "n"))
+        yield pa.RecordBatch.from_arrays([h, *hashes, n, ctx, pa.array(place.astype(np.int32))], names=["h", "a", "b", "n", "ctx", "first"])
 
 
 def gather(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable
@@ -15,13 +16,32 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where the setting is missing (tests on one machine) a local folder is set.
+    Where the setting is missing a local folder serves in local mode (tests); on a cluster that is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        held = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
-        base = held or tempfile.mkdtemp(prefix="docweave-")
-    return f"{base.rstrip('/')}/docweave-{uuid.uuid4().hex}"
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="docweave-")
+    folder = f"{base.rstrip('/')}/docweave-{uuid.uuid4().hex}"
+    _folders.append(folder)
+    return folder
+
+
+#: Scratch folders handed out and not dropped yet.
+_folders: list[str] = []
+
+
+def scratch_mark() -> int:
+    return len(_folders)
+
+
+def drop_scratch(spark: SparkSession, mark: int) -> None:
+    """Removes the scratch folders handed out since ``mark``; for when all results that read them are written."""
+    for folder in _folders[mark:]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    del _folders[mark:]
 
 
 def written(df: DataFrame, name: str, folder: str) -> DataFrame:
@@ -31,16 +51,43 @@ def written(df: DataFrame, name: str, folder: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(name: str, df: DataFrame) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def _is_scan(plan) -> bool:
+    """Whether each row of the plan is one row of files."""
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().apply(0)
+    return plan.children().isEmpty()
+
+
 def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
-    """Numbers rows, alike in every evaluation.
+    """Numbers rows by a long in a column ``name``, alike in every evaluation and never twice.
 
-    Rows of files are named by a hash of their file and their place in it, however the files are
-    split among tasks; other tables are numbered by partition and place, and must give the same
-    partitions each time.
+    Rows of files have the number of their file, of all in order of name, and their place in it,
+    however the files are split among tasks (2**23 files of 2**40 rows).  Rows of anything else
+    are numbered by partition and place, so those tables must give the same rows in the same
+    partitions each time they are evaluated; write them first if they don't.
     """
-    if "_metadata" in docs._jdf.queryExecution().analyzed().metadataOutput().toString():
-        return docs.withColumn(name, F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")))
-    return docs.withColumn(name, F.monotonically_increasing_id())
+    plan = docs._jdf.queryExecution().analyzed()
+    if not (_is_scan(plan) and "_metadata" in plan.metadataOutput().toString()):
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    meta, path = docs.metadataColumn("_metadata"), fresh("__path", docs)
+    # a row for each file, as the driver lists them for the scan anyway
+    names = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
+    if len(names) <= 1:
+        return docs.withColumn(name, meta["row_index"])
+    numbers = docs.sparkSession.createDataFrame(list(enumerate(names)), f"{fresh('__file', docs)} long, {path} string")
+    number = F.col(numbers.columns[0])
+    kept = [F.col(f"`{c}`") for c in docs.columns if c != name]
+    place = fresh("__place", docs)
+    there = docs.select(*kept, meta["file_path"].alias(path), meta["row_index"].alias(place))
+    return there.join(F.broadcast(numbers), path).select(*kept, (number * F.lit(1 << 40) + F.col(place)).alias(name))
 
 
 def fold(doc_id: Column, n: int) -> Column:

@@ -1,12 +1,16 @@
-"""Vectorised polynomial hashing and winnowing over the buffers of Arrow string columns.
+"""Vectorised hashing and winnowing over the buffers of Arrow string columns.
 
 A batch of texts is handled as one byte array with offsets, so no Python object is made for a
-word or a byte.  All hashes are 64-bit polynomials over randomised symbols, finished by a
-mixing step; equality of hashes is only ever used where the callers say so.
+word or a byte.  Two kinds of hashes are kept apart.  ``Prefix`` gives cheap polynomials modulo
+2**64, which made-up texts can bring to collide: they number the features of models, where a
+collision is harmless.  ``word_hashes`` and ``Ranges`` mix without such algebra and are what
+decides whether words and windows are equal.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 
@@ -80,6 +84,91 @@ class Prefix:
         return mix((self.sums[k:] - self.sums[: n - k + 1]) * _table("down", _RADIX_INVERSE, n - k + 1))
 
 
+def blend(left: np.ndarray, right: np.ndarray, salt: int) -> np.ndarray:
+    """One hash of two, in this order; every bit of both reaches every bit of it."""
+    x = left * np.uint64(0xA24BAED4963EE407)
+    y = right * np.uint64(0x9FB21C651E98DF25)
+    x ^= x >> np.uint64(29)
+    y ^= y >> np.uint64(32)
+    x += y
+    x += np.uint64(salt)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    x ^= x >> np.uint64(32)
+    return x
+
+
+class Ranges:
+    """Hashes of ranges of a symbol sequence, from ranges of half the length up.
+
+    A range of n symbols is two overlapping ranges of the greatest power of two in n; of the
+    powers only those that ``sizes`` of ranges need are kept.
+    """
+
+    def __init__(self, symbols: np.ndarray, sizes: tuple[int, ...], salt: int = 0):
+        need = {n.bit_length() - 1 for n in sizes}
+        self.n, self.salt, self.levels = len(symbols), salt, {}
+        lowest = 3 if symbols.dtype == np.uint8 and min(need) >= 3 else 0
+        level = _eights(symbols) if lowest else symbols.astype(np.uint64)  # eight bytes are one number
+        level = mix(level + np.uint64((salt + 1) * 0x9E3779B97F4A7C15 % 2**64))
+        for power in range(lowest, max(need) + 1):
+            if power > lowest:
+                half = 1 << (power - 1)
+                level = blend(level[: max(0, len(level) - half)], level[half:], salt)
+            if power in need:
+                self.levels[power] = level
+
+    def grams(self, k: int) -> np.ndarray:
+        """Hashes of all ranges of length k (n - k + 1 of them)."""
+        if self.n < k:
+            return np.zeros(0, np.uint64)
+        power = k.bit_length() - 1
+        level, count = self.levels[power], self.n - k + 1
+        if 1 << power == k:
+            return level[:count]
+        return blend(level[:count], level[k - (1 << power) :][:count], self.salt + k)
+
+    def hash(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the ranges [start, end), whose lengths must be among the sizes' powers."""
+        size = end - start
+        out = np.empty(len(start), np.uint64)
+        for power, level in self.levels.items():
+            some = np.flatnonzero((size >> power) == 1)
+            if len(some):
+                out[some] = blend(level[start[some]], level[end[some] - (1 << power)], self.salt)
+        out += size.astype(np.uint64)
+        return mix(out)
+
+
+def _eights(data: np.ndarray) -> np.ndarray:
+    """Each eight consecutive bytes as one number."""
+    data = np.ascontiguousarray(data)
+    return np.ndarray((max(0, len(data) - 7),), "<u8", data, 0, (1,)).astype(np.uint64) if len(data) >= 8 else np.zeros(0, np.uint64)
+
+
+_PIECE_MASK = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, salt: int = 0) -> np.ndarray:
+    """A hash of each word's bytes: pieces of eight bytes, chained by mixing; words over 64 bytes by a digest."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    pieces = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from every place on
+    size = ends - starts
+    out = mix(size.astype(np.uint64) + np.uint64((salt + 1) * 0xC2B2AE3D27D4EB4F % 2**64))
+    short = size <= 64
+    at = np.flatnonzero(short)
+    place, left = starts[at], size[at]
+    while len(at):
+        piece = pieces[place] & _PIECE_MASK[np.minimum(left, 8)]
+        out[at] = blend(out[at], piece, salt)
+        more = left > 8
+        at, place, left = at[more], place[more] + 8, left[more] - 8
+    for i in np.flatnonzero(~short):
+        digest = hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=salt.to_bytes(8, "big")).digest()
+        out[i] = np.uint64(int.from_bytes(digest, "little"))
+    return mix(out)
+
+
 def byte_prefix(data: np.ndarray) -> Prefix:
     return Prefix(_SYMBOLS[data])
 

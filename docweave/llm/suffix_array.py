@@ -64,7 +64,7 @@ def dedup_bytes(docs: DataFrame, length: int = 200, k: int = 32, block: int = 50
 def repeated_windows(contents: Contents, length: int, block: int):
     """Windows of the contents that share ``length`` bytes with another place, or stand for equal contents."""
     windows, first = contents.windows.astype(np.int64), contents.offsets[:-1]
-    grams = rolling.byte_prefix(contents.data).grams(block)
+    grams = rolling.Ranges(contents.data, (block,)).grams(block)
     of = np.repeat(np.arange(len(first)), windows)
     window = np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)
     # the chains: windows that are whole blocks apart follow one another

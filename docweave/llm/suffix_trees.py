@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from docweave.llm import rolling
-from docweave.llm.anchors import Contents, Units, find_repeats, runs, union_of_ranges
+from docweave.llm.anchors import Contents, Units, find_repeats, gather, runs, union_of_ranges
 from docweave.llm.common import small_batches
 
 
@@ -41,12 +41,8 @@ def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int
             for i, (a, z) in enumerate(zip(borders[:-1], borders[1:], strict=True)):
                 found = batch.column("ranges")[i].values
                 gone = union_of_ranges(found if found is not None else (), int(z - a))
-                whole = bytes(data[offsets[i] : offsets[i + 1]])
-                if gone.any():
-                    stay = np.flatnonzero(~gone) + a
-                    left = b" ".join([whole[x:y] for x, y in zip(starts[stay] - offsets[i], ends[stay] - offsets[i], strict=True)])
-                else:
-                    left = b" ".join(whole.split())
+                stay = np.flatnonzero(~gone) + a
+                left = joined(data[offsets[i] : offsets[i + 1]], starts[stay] - offsets[i], ends[stay] - offsets[i])
                 words.append(int(z - a))
                 removed.append(int(gone.sum()))
                 digests.append(hashlib.sha256(left).hexdigest())
@@ -64,10 +60,36 @@ def dedup_words(docs: DataFrame, length: int = 35, k: int = 8, block_bytes: int
     return numbered.join(ranges, "rid", "left").mapInArrow(run, schema)
 
 
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> bytes:
+    """The given words, which are in order, with one space between them."""
+    if not len(starts):
+        return b""
+    out, marks = np.full(len(data) + 1, 0x20, np.uint8), np.zeros(len(data) + 2, np.int8)
+    out[:-1] = data
+    out[ends] = 0x20  # the byte behind each word becomes its space
+    marks[starts] += 1
+    marks[ends + 1] -= 1
+    return out[np.cumsum(marks, dtype=np.int8)[:-1] > 0][:-1].tobytes()
+
+
+def exact_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number for each word, equal only for equal bytes: hashes propose, the bytes decide."""
+    names, first, of = np.unique(rolling.word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    like, size = first[of], ends - starts
+    same = bool((size == size[like]).all())
+    for i in range(0, len(starts) if same else 0, 1 << 17):
+        some = slice(i, i + (1 << 17))
+        same = same and np.array_equal(gather(data, starts[some], ends[some]), gather(data, starts[like[some]], ends[like[some]]))
+    if same:
+        return of.astype(np.int64)
+    numbers: dict[bytes, int] = {}
+    return np.array([numbers.setdefault(data[a:z].tobytes(), len(numbers)) for a, z in zip(starts, ends, strict=True)], np.int64)
+
+
 def repeated_windows(contents: Contents, length: int, most_suffixes: int = 1 << 20):
     """Windows of the contents that are leaves of internal nodes of at least ``length`` words."""
     starts, ends, borders = rolling.words(contents.data, contents.offsets)
-    names = np.unique(rolling.byte_prefix(contents.data).hash(starts, ends), return_inverse=True)[1].astype(np.int64)
+    names = exact_names(contents.data, starts, ends)
     first = borders[:-1]
     of = np.repeat(np.arange(len(first)), contents.windows)
     window = np.arange(len(of)) - np.repeat(np.cumsum(contents.windows) - contents.windows, contents.windows)
