@@ -18,30 +18,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docweave.llm import rolling
-from docweave.llm.common import shared_folder, small_batches, with_row_id, written
+from docweave.llm.common import fresh, shared_folder, small_batches, with_row_id, written
 
 _STEP, _LEVEL = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
-def bags(column, shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, hash, count) of the shingles of each text, in order of row and hash.
+def shingles(column, size: int, salts: tuple[int, ...] = (0,)) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Row of each run of ``size`` words in text order, and its hash for each salt.
 
-    A text of fewer words, but not none, is one shingle.
+    A text of fewer words, but not none, is one run.
     """
     data, offsets = rolling.text_buffers(column)
     starts, ends, borders = rolling.words(data, offsets)
-    prefix = rolling.Prefix(rolling.byte_prefix(data).hash(starts, ends))
     lengths = np.diff(borders)
-    n = np.where(lengths >= shingle, lengths - shingle + 1, (lengths > 0).astype(np.int64))
+    n = np.where(lengths >= size, lengths - size + 1, (lengths > 0).astype(np.int64))
     row = np.repeat(np.arange(len(n)), n)
     at = borders[row] + np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    hashes = prefix.hash(at, np.minimum(at + shingle, borders[row + 1]))
-    # row and hash in one sortable number; 48 bits tell the shingles of two texts apart
-    key = np.sort(row.astype(np.uint64) << np.uint64(48) | hashes >> np.uint64(16))
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-    count = np.diff(np.r_[first, len(key)])
-    key = key[first]
-    return (key >> np.uint64(48)).astype(np.int64), key & np.uint64((1 << 48) - 1), count
+    held = np.minimum(lengths, size)[row]
+    out = []
+    for salt in salts:
+        words = np.r_[rolling.word_hashes(data, starts, ends, salt), np.zeros(size, np.uint64)]
+        hashes = rolling.mix(held.astype(np.uint64) + np.uint64(salt))
+        for j in range(size):
+            hashes = rolling.blend(hashes, np.where(j < held, words[at + j], np.uint64(0)), salt)
+        out.append(rolling.mix(hashes))
+    return row, out
+
+
+def counted(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, count) of the shingles, in order of row and hash."""
+    order = np.argsort(hashes)
+    kind = np.uint16 if len(row) and row[-1] < 1 << 16 else np.int64
+    order = order[np.argsort(row[order].astype(kind), kind="stable")]
+    row, hashes = row[order], hashes[order]
+    first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])]) if len(row) else np.zeros(0, np.int64)
+    return row[first], hashes[first], np.diff(np.r_[first, len(row)])
+
+
+def bags(column, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, hash, count) of the shingles of each text, in order of row and hash."""
+    row, (hashes,) = shingles(column, size)
+    return counted(row, hashes)
 
 
 def signatures(row: np.ndarray, hashes: np.ndarray, count: np.ndarray, n_rows: int, registers: int, slack: float = 3.0) -> np.ndarray:
@@ -85,14 +102,17 @@ def _points(flat, row, seed, count, until, low: int, size: int, registers: int)
 def sketch(batches: Iterable[pa.RecordBatch], shingle: int, registers: int) -> Iterator[pa.RecordBatch]:
     """doc_id, rid, a digest of the multiset (a, b, n) and its registers, 16 bits each; rows without words are left out."""
     for batch in small_batches(batches):
-        row, hashes, count = bags(batch.column("text"), shingle)
+        every, (first, second) = shingles(batch.column("text"), shingle, (0, 1))
+        row, hashes, count = counted(every, first)
         kept = np.unique(row)
         if not len(kept):
             continue
         n_rows = len(batch)
+        # sums over the multiset, of two hashes that have nothing in common
+        begin = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
         digests = [np.zeros(n_rows, np.uint64) for _ in range(2)]
-        for d, salt in zip(digests, (1, 2), strict=True):
-            np.add.at(d, row, rolling.mix(hashes + np.uint64((salt * int(_STEP)) % 2**64)) * count.astype(np.uint64))
+        for d, h in zip(digests, (first, second), strict=True):
+            d[kept] = np.add.reduceat(rolling.mix(h + _STEP), begin)
         total = np.bincount(row, count, n_rows).astype(np.int64)
         times = signatures(row, hashes, count, n_rows, registers)[kept].view(np.uint64)
         packed = (rolling.mix(times) >> np.uint64(48)).astype(">u2").tobytes()
@@ -138,6 +158,10 @@ def similarities(left, right, shingle: int) -> np.ndarray:
     return np.where(total > 0, shared / np.maximum(total, 1), 0.0)
 
 
+#: A text: the least doc_id and row of those with its words.
+_NODE = "struct<doc_id:long,rid:long>"
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 4, block_texts: int = 2000) -> DataFrame:
     """Classes of near-duplicate documents: doc_id, class_id, keeps and rid for each row of ``docs``.
 
@@ -146,77 +170,117 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     connect, class_id its least doc_id, and ``keeps`` marks its first row by doc_id.  Rows with
     equal multisets are one text from the start.  Candidates share a band of ``rows`` registers
     (of ``bands`` bands a pair of 0.8 misses all with a probability under 1e-7) and every link is
-    verified on the texts: first each text with the text of its bucket that has most mates, then
-    the texts of buckets that still hold several classes with each other, in blocks of about
-    ``block_texts`` texts of similar size, where a pair's registers allow the similarity.
+    verified on the texts.  Each bucket has a head, the text with most mates in all buckets.
+    Each text meets the one head with which it shares most buckets, then the heads of its other
+    buckets that are in other classes, then, where a bucket still holds several classes, the
+    texts of its surroundings in blocks of similar size, about ``block_texts`` texts each, where
+    a pair's registers allow the similarity.
     Null texts and texts without words are in no class but their own, texts under ``shingle``
     words are one shingle, an empty table gives an empty result; further columns are not read.
+    ``docs`` is read several times, see ``with_row_id``.
     """
     folder = shared_folder(docs.sparkSession)
     docs = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     sketched = written(docs.mapInArrow(lambda it: sketch(it, shingle, bands * rows), "doc_id long, rid long, a long, b long, n long, registers binary"), "sketches", folder)
-    texts = sketched.groupBy("a", "b", "n").agg(F.min(F.struct("doc_id", "rid")).alias("head"))
-    of = sketched.select("doc_id", "rid", "a", "b", "n").join(texts, ["a", "b", "n"])
-    members = written(of.select("doc_id", "rid", F.col("head.rid").alias("text_rid"), F.col("head.doc_id").alias("text_id")), "members", folder)
-    own = written(sketched.join(members.where("rid = text_rid").select("rid"), "rid", "left_semi").select("rid", "n", "registers"), "texts", folder)
+    texts = sketched.groupBy("a", "b", "n").agg(F.min(F.struct("doc_id", "rid")).alias("node"))
+    members = written(sketched.select("doc_id", "rid", "a", "b", "n").join(texts, ["a", "b", "n"]).select("doc_id", "rid", "node"), "members", folder)
+    own = written(sketched.join(members.where("rid = node.rid").select("rid", "node"), "rid").select("node", "n", "registers"), "texts", folder)
     band = F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, substring(registers, i * {2 * rows} + 1, {2 * rows})))")
-    placed = own.select("rid", "n", F.explode(band).alias("band"))
+    placed = own.select("node", "n", F.explode(band).alias("band"))
     sizes = placed.groupBy("band").agg(F.count("*").alias("times")).where("times > 1")
     buckets = written(placed.join(sizes, "band"), "buckets", folder)
-    # the text with most mates in a bucket is nearest to what a family of copies was made from
-    mates = buckets.groupBy("rid").agg(F.sum("times").alias("mates"))
-    heads = buckets.select("rid", "n", "band").join(mates, "rid").groupBy("band").agg(F.max(F.struct("mates", "rid", "n")).alias("head"))
-    buckets = written(buckets.select("rid", "n", "band").join(heads, "band"), "headed", folder)
-    met = buckets.where((F.col("rid") != F.col("head.rid")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
-    pairs = met.select(F.col("rid").alias("x"), F.col("head.rid").alias("y")).distinct()
-    links = written(_verified(docs, pairs, shingle, similarity), "links", folder)
+    # the text with most mates in all buckets is nearest to what a family of copies was made from
+    mates = buckets.groupBy("node").agg(F.sum("times").alias("mates"))
+    heads = buckets.select("node", "n", "band").join(mates, "node").groupBy("band").agg(F.max(F.struct("mates", "node", "n")).alias("head"))
+    buckets = written(buckets.select("node", "n", "band").join(heads, "band"), "headed", folder)
+    met = buckets.where((F.col("node") != F.col("head.node")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
+    met = met.groupBy(F.col("node").alias("x"), F.col("head.node").alias("y")).agg(F.count("*").alias("shared"), F.max("head.mates").alias("mates"))
+    met = written(met, "met", folder)
+    first = met.groupBy("x").agg(F.max(F.struct("shared", "mates", "y")).alias("best")).select("x", "best.y")
+    links = written(_verified(docs, first, shingle, similarity), "links", folder)
     classes = components(links, f"{folder}/first")
-    at = buckets.select("rid", "band", F.col("head.rid").alias("y")).join(classes.withColumnRenamed("node", "rid"), "rid", "left").select("rid", "band", "y", F.coalesce("least", "rid").alias("class"))
+    # the other heads, as far as they are in other classes and the registers allow the similarity
+    rest = met.join(first.withColumnRenamed("y", "tried"), "x").where("y != tried").select("x", "y")
+    rest = _apart(rest, classes)
+    rest = _likely(rest, own, similarity, bands * rows)
+    links = written(links.unionByName(_verified(docs, rest, shingle, similarity)), "more_links", folder)
+    classes = components(links, f"{folder}/second")
+    at = buckets.select("node", "band", F.col("head.node").alias("y")).join(classes, "node", "left").select("node", "band", "y", F.coalesce("least", "node").alias("class"))
     at = written(at, "classed", folder)
     mixed = at.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
-    joined = written(at.join(mixed, "band", "left_semi").select(F.col("rid").alias("x"), "y", "class"), "mixed", folder)
+    joined = written(at.join(mixed, "band", "left_semi").select(F.col("node").alias("x"), "y", "class"), "mixed", folder)
     groups = components(joined.where("x != y").select("x", "y").distinct(), f"{folder}/groups")
     found = _in_blocks(docs, own, joined, groups, shingle, similarity, block_texts, bands * rows)
     links = written(links.unionByName(found), "all_links", folder)
-    names = components(links, f"{folder}/last").withColumnRenamed("node", "text_rid").withColumnRenamed("least", "class_rid")
-    labelled = members.join(names, "text_rid", "left").select("doc_id", "rid", F.coalesce("class_rid", "text_rid").alias("class_rid"))
-    firsts = labelled.groupBy("class_rid").agg(F.min(F.struct("doc_id", "rid")).alias("first"))
-    classed = labelled.join(firsts, "class_rid").select("rid", F.col("first.doc_id").alias("class_id"), (F.col("first.rid") == F.col("rid")).alias("keeps"))
+    labels = components(links, f"{folder}/last")
+    classed = members.join(labels, "node", "left").select("rid", F.coalesce("least", "node").alias("first"))
     out = docs.select("doc_id", "rid").join(classed, "rid", "left")
-    return out.select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("keeps", F.lit(True)).alias("keeps"), "rid")
+    alone = F.col("first").isNull()
+    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), (alone | (F.col("first.rid") == F.col("rid"))).alias("keeps"), "rid")
+
+
+def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different classes; a node without a row is a class of its own."""
+    for end in ("x", "y"):
+        pairs = pairs.join(classes.select(F.col("node").alias(end), F.col("least").alias(f"{end}_class")), end, "left")
+    return pairs.where(F.coalesce("x_class", "x") != F.coalesce("y_class", "y")).select("x", "y")
+
+
+def _needed(similarity: float, registers: int) -> float:
+    """Share of equal registers that a pair of that similarity falls below with a probability under 1e-5."""
+    return similarity - 4.3 * (similarity * (1 - similarity) / registers) ** 0.5
+
+
+def _likely(pairs: DataFrame, own: DataFrame, similarity: float, registers: int) -> DataFrame:
+    """The pairs whose registers allow the similarity."""
+    need = _needed(similarity, registers)
+
+    def run(batches):
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), ">u2").reshape(-1, registers) for c in ("registers", "other"))
+            yield batch.select(["x", "y"]).filter(pa.array((left == right).mean(1) >= need))
+
+    signed = own.select("node", "registers")
+    both = pairs.join(signed.withColumnRenamed("node", "x"), "x").join(signed.select(F.col("node").alias("y"), F.col("registers").alias("other")), "y")
+    return both.select("x", "y", "registers", "other").mapInArrow(run, f"x {_NODE}, y {_NODE}")
 
 
 def _in_blocks(docs: DataFrame, own: DataFrame, joined: DataFrame, groups: DataFrame, shingle: int, similarity: float, block_texts: int, registers: int) -> DataFrame:
     """Links x, y between different classes of one group (what shared buckets connect).
 
     A size step holds the texts that may be similar enough by their number of shingles; texts go
-    to the blocks of their own and the next lower step, and steps of many texts are cut into
-    parts of ``block_texts``, each pair of which is a block of its own.
+    to the blocks of their own and the next lower step, and steps of many texts or long ones are
+    cut into parts, each pair of which is a block of its own.
     """
-    nodes = joined.select(F.col("x").alias("rid"), "class").distinct().join(groups.withColumnRenamed("node", "rid"), "rid").join(own, "rid")
+    nodes = joined.select(F.col("x").alias("node"), "class").distinct().join(groups, "node").join(own, "node")
     step = F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(1 / similarity)))
     placed = nodes.withColumn("step", F.explode(F.array(step, step - 1)))
-    sizes = placed.groupBy("least", "step").agg(F.ceil(F.count("*") / F.lit(block_texts)).alias("parts"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").drop("lo", "hi")
-    part = F.pmod(F.xxhash64("rid"), F.col("parts"))
+    # a block holds the shingles of two parts, at 16 bytes each
+    many = F.greatest(F.count("*") / F.lit(block_texts), F.sum("n") / F.lit(1 << 20))
+    sizes = placed.groupBy("least", "step").agg(F.ceil(many).alias("parts"), F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").drop("lo", "hi")
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
     cut = placed.join(sizes, ["least", "step"]).withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    blocks = cut.select("rid", "class", "n", "registers", F.struct("least", "step", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("block"))
-    # a pair of that similarity has fewer equal registers with a probability under 1e-5
-    need = similarity - 4.3 * (similarity * (1 - similarity) / registers) ** 0.5
+    blocks = cut.select("node", "class", "n", "registers", F.struct("least", "step", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j")).alias("block"))
+    need = _needed(similarity, registers)
 
     def search(table: pa.Table) -> pa.Table:
-        x, y = _links_of_block(table.combine_chunks(), shingle, similarity, need)
-        return pa.table({"x": pa.array(x, pa.int64()), "y": pa.array(y, pa.int64())})
+        table = table.combine_chunks()
+        x, y = _links_of_block(table, shingle, similarity, need)
+        node = table.column("node").combine_chunks()
+        return pa.table({"x": node.take(pa.array(x, pa.int64())), "y": node.take(pa.array(y, pa.int64()))})
 
-    return blocks.join(docs.select("rid", "text"), "rid").groupBy("block").applyInArrow(search, "x long, y long").distinct()
+    texts = docs.select(F.col("rid").alias("__rid"), "text")
+    return blocks.join(texts, F.col("node.rid") == F.col("__rid")).drop("__rid").groupBy("block").applyInArrow(search, f"x {_NODE}, y {_NODE}").distinct()
 
 
 def _links_of_block(table: pa.Table, shingle: int, similarity: float, need: float) -> tuple[list[int], list[int]]:
-    """Links that join classes, found by the likeliest pairs first until no pair of two classes is left."""
-    rid, n, names = (np.asarray(table.column(c)) for c in ("rid", "n", "class"))
-    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), ">u2").reshape(len(rid), -1).astype(np.uint16)
-    label = np.unique(names, return_inverse=True)[1].astype(np.int64)
+    """Links that join classes, as rows of the block: the likeliest pairs first, until no pair of two classes is left."""
+    n = np.asarray(table.column("n"))
+    registers = np.frombuffer(b"".join(table.column("registers").to_pylist()), ">u2").reshape(len(n), -1).astype(np.uint16)
+    names = table.column("class").combine_chunks().field("rid")
+    label = np.unique(np.asarray(names), return_inverse=True)[1].astype(np.int64)
     left, right, equal = [], [], []
-    for i in range(0, len(rid), 64):
+    for i in range(0, len(n), 64):
         same = (registers[i : i + 64, None] == registers[None, i:]).mean(2)
         p, q = np.nonzero(same >= need)
         q = q + i
@@ -243,8 +307,8 @@ def _links_of_block(table: pa.Table, shingle: int, similarity: float, need: floa
         near = overlaps(tuple(np.concatenate(c) for c in zip(*bag, strict=True)), x[turn], y[turn]) >= similarity - 1e-12
         for a, b in zip(x[turn][near], y[turn][near], strict=True):
             if label[a] != label[b]:
-                found_x.append(int(rid[a]))
-                found_y.append(int(rid[b]))
+                found_x.append(int(a))
+                found_y.append(int(b))
                 label[label == label[b]] = label[a]
         left_over = ~turn & (label[x] != label[y])
         x, y, most = x[left_over], y[left_over], most * 3
@@ -254,10 +318,11 @@ def _links_of_block(table: pa.Table, shingle: int, similarity: float, need: floa
 def one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs``, all columns as they are, but for the later members of each class.
 
-    ``docs`` is read twice and must be a scan that gives its rows in the same partitions each time.
+    ``docs`` is read several times, see ``with_row_id``.
     """
-    later = near_duplicates(docs, **options).where("NOT keeps").select(F.col("rid").alias("__rid"))
-    return with_row_id(docs, "__rid").join(later, "__rid", "left_anti").drop("__rid")
+    rid = fresh("__rid", docs)
+    later = near_duplicates(docs, **options).where("NOT keeps").select(F.col("rid").alias(rid))
+    return with_row_id(docs, rid).join(later, rid, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float) -> DataFrame:
@@ -269,9 +334,9 @@ def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float
             yield batch.select(["x", "y"]).filter(pa.array(near))
 
     texts = docs.select("rid", "text")
-    with_x = pairs.join(texts.withColumnRenamed("rid", "x"), "x")
-    both = with_x.join(texts.withColumnRenamed("rid", "y").withColumnRenamed("text", "other"), "y")
-    return both.select("x", "y", "text", "other").mapInArrow(run, "x long, y long")
+    with_x = pairs.select("x", "y", F.col("x.rid").alias("rid")).join(texts, "rid").drop("rid")
+    both = with_x.join(texts.select("rid", F.col("text").alias("other")), F.col("y.rid") == F.col("rid"))
+    return both.select("x", "y", "text", "other").mapInArrow(run, f"x {_NODE}, y {_NODE}")
 
 
 def components(links: DataFrame, folder: str) -> DataFrame:
