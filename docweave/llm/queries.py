@@ -81,7 +81,7 @@ def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docweave.llm import line_runs
 
-    kept = line_runs.dedup_line_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2)
+    kept = line_runs.dedup_line_runs(table(spark, sf_dir, "documents").select("doc_id", "text"), min_lines=2, min_chars=250)
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 

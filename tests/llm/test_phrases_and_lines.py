@@ -70,13 +70,36 @@ def test_near(spark):
     assert {r.doc_id for r in find_near(docs, items, 3, 2).collect()} == {1}
 
 
-def brute_lines(docs, min_lines):
-    first, places = {}, []
+def test_near_against_brute_force(spark):
+    """A match has the two rarest terms of a window as far apart as in it, give or take the slop."""
+    r = random.Random(11)
+    vocabulary = [f"t{i}" for i in range(40)]
+    docs = [(i, " ".join(r.choices(vocabulary, k=r.randint(0, 50)))) for i in range(60)]
+    items = [(i, " ".join(r.sample(vocabulary, k=r.randint(2, 6)))) for i in range(30)]
+    counts = {t: sum(tokens(d).count(t) for _, d in docs) for t in vocabulary}
+    expected = set()
+    for _, item in items:
+        w = tokens(item)
+        for window in {tuple(w[i : i + 4]) for i in range(max(1, len(w) - 3))}:
+            (_, k1, x), (_, k2, y) = sorted((counts[t], k, t) for k, t in enumerate(window))[:2]
+            for doc_id, text in docs:
+                at = tokens(text)
+                starts = [[p - k for p, t in enumerate(at) if t == term] for k, term in ((k1, x), (k2, y))]
+                if any(abs(a - b) <= 2 for a in starts[0] for b in starts[1]):
+                    expected.add((doc_id, window))
+    got = find_near(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), 4, 2).collect()
+    assert {(x.doc_id, tuple(x.words)) for x in got} == expected and len(got) == len(expected) > 20
+
+
+def brute_lines(docs, min_lines, min_chars=250):
+    first, alone, places = {}, {}, []
     for doc_id, text in sorted((d for d in docs if d[1] is not None)):
         lines = text.split("\n")
         content = [i for i, x in enumerate(lines) if x.strip()]
         for j in range(len(content) - min_lines + 1):
             first.setdefault(tuple(lines[i] for i in content[j : j + min_lines]), (doc_id, j))
+        for i in content:
+            alone.setdefault(lines[i], (doc_id, i))
         places.append((doc_id, lines, content))
     out = {d[0]: (None, 0, 0) for d in docs}
     for doc_id, lines, content in places:
@@ -84,6 +107,7 @@ def brute_lines(docs, min_lines):
         for j in range(len(content) - min_lines + 1):
             if first[tuple(lines[i] for i in content[j : j + min_lines])] != (doc_id, j):
                 gone.update(content[j : j + min_lines])
+        gone.update(i for i in content if len(lines[i]) >= min_chars and alone[lines[i]] != (doc_id, i))
         out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(content), len(gone))
     return out
 
@@ -91,7 +115,7 @@ def brute_lines(docs, min_lines):
 def test_lines(spark):
     r = random.Random(9)
     for min_lines in (1, 2, 3, 5):
-        pool = [f"line {i}" for i in range(12)] + ["", "  ", "é"]
+        pool = [f"line {i}" for i in range(12)] + ["", "  ", "é", "long " * 50, "longer " * 40]
         docs = [(i, "\n".join(r.choices(pool, k=r.randint(0, 14)))) for i in range(40)] + [(90, None), (91, ""), (92, "\n\n"), (93, "a\na\na\na\na\na")]
         frame = spark.createDataFrame([(*d, "kept", 7) for d in docs], "doc_id long, text string, rid string, key int")
         got = dedup_line_runs(frame, min_lines)
