@@ -27,7 +27,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later copies of runs of two lines or more are cut out; a document of nothing else goes."""
-    kept = line_runs.dedup_line_runs(docs, min_lines=2).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
+    kept = line_runs.dedup_line_runs(docs, min_lines=2, min_chars=250).where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_lines")))
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
