@@ -1,46 +1,40 @@
 """Nearest neighbours by multiprobe p-stable hashing.
 
 Each table hashes a vector by ``bits`` random projections cut into slots of one width with a
-random shift (p-stable hashing for the Euclidean distance).  A query visits the buckets of each
-table in the order of their estimated success: the squared distances from its projections to the
-slots, summed, as Gaussian projections make that the log-likelihood that a near vector lies there.
-The candidates of all tables are merged and ranked by exact inner products.
+random shift (p-stable hashing for the Euclidean distance).  A query visits, in each table, a set
+number of buckets: its own and those that differ from it by a slot up or down in some of the
+projections, in the order of their estimated success.  That is the sum of the squared distances
+from its projections to the perturbed slots, as Gaussian projections make it the log-likelihood
+that a near vector lies there.  The candidates of all tables are merged and ranked by exact inner
+products.
 
 For the largest inner product all vectors get one more component that makes their lengths equal;
 the nearest by Euclidean distance then have the largest inner product.
-
-Where the depth needed makes the tables' visits together as many as all vectors, probing costs no
-less than comparing each vector once, and loses neighbours: then one table is visited whole, and
-the result is exact.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from docweave.llm import rolling
 from docweave.llm.common import shared_folder, written
 
 
 @dataclass
 class Tables:
-    """Hash functions, bucket directory and probing depth; of bounded size, sent with the tasks."""
+    """Hash functions and number of probes; of bounded size, sent with the tasks."""
 
     planes: np.ndarray  # table, bit, component
     shifts: np.ndarray  # table, bit
     width: float
     longest: float
-    share: float = 1.0
-    buckets: list[np.ndarray] | None = None  # for each table: slots of its buckets
-    counts: list[np.ndarray] | None = None
-    blocks: list[np.ndarray] | None = None  # for each table: first block of each bucket
-    spread: list[np.ndarray] | None = None  # and number of blocks it is salted over
+    probes: int = 1
 
     def project(self, vectors: np.ndarray, query: bool) -> np.ndarray:
         """vector, table, bit: projections in slot widths; queries have no extra component."""
@@ -53,31 +47,44 @@ class Tables:
         flat = full @ self.planes.reshape(-1, size).T
         return flat.reshape(len(full), tables, bits) / self.width + self.shifts
 
-    def slots(self, vectors: np.ndarray) -> np.ndarray:
-        return np.clip(np.floor(self.project(vectors, False)), -127, 127).astype(np.int8)
+    def buckets(self, vectors: np.ndarray) -> np.ndarray:
+        """vector, table: the bucket of each vector, as a number."""
+        slots = np.floor(self.project(vectors, False)).astype(np.int64)
+        return np.stack([bucket_number(slots[:, t], t) for t in range(slots.shape[1])], 1)
+
+    def visited(self, vectors: np.ndarray, probes: int | None = None) -> np.ndarray:
+        """query, table, probe: the buckets that each query visits, the likeliest first."""
+        x = self.project(vectors, True)
+        return np.stack([bucket_number(perturbed(x[:, t], probes or self.probes), t) for t in range(x.shape[1])], 1)
+
 
-    def order(self, projected: np.ndarray, table: int) -> np.ndarray:
-        """query, bucket: estimated failure of each bucket, the squared distance to it in slots."""
-        slots = self.buckets[table].astype(np.float64)
-        out = np.zeros((len(projected), len(slots)))
-        for b in range(slots.shape[1]):
-            x = projected[:, b, None]
-            out += np.maximum(0, np.maximum(slots[None, :, b] - x, x - slots[None, :, b] - 1)) ** 2
-        return out
+def bucket_number(slots: np.ndarray, table: int) -> np.ndarray:
+    """A number for the slots along the last axis; where two buckets share one they are searched together."""
+    out = np.full(slots.shape[:-1], np.uint64(table + 1))
+    for b in range(slots.shape[-1]):
+        out = rolling.mix(out * np.uint64(0x9E3779B97F4A7C15) + slots[..., b].astype(np.uint64))
+    return out.view(np.int64)
 
-    def visited(self, projected: np.ndarray, table: int) -> np.ndarray:
-        """query, bucket: whether the query visits the bucket, up to ``share`` of all vectors."""
-        score = self.order(projected, table)
-        rank = np.argsort(score, 1, kind="stable")
-        before = np.cumsum(self.counts[table][rank], 1) - self.counts[table][rank]
-        out = np.zeros(score.shape, bool)
-        np.put_along_axis(out, rank, before < self.share * self.counts[table].sum(), 1)
-        return out
 
+def perturbed(x: np.ndarray, probes: int) -> np.ndarray:
+    """query, probe, bit: the slots of the ``probes`` buckets with the least squared distance from each query, nearest first.
 
-def _codes(slots: np.ndarray) -> list[list[bytes]]:
-    """For each table the bucket keys of the vectors."""
-    return [[row.tobytes() for row in np.ascontiguousarray(slots[:, t])] for t in range(slots.shape[1])]
+    Each projection stays in its slot or goes one down or up.  The best sets of steps over the
+    first projections are extended by one projection at a time; as no step has a negative cost,
+    a set that is not among the best so far can't lead to one of the best in the end.
+    """
+    base = np.floor(x)
+    down, up = (x - base) ** 2, (base + 1 - x) ** 2
+    score, steps = np.zeros((len(x), 1)), np.zeros((len(x), 1), np.int64)
+    for b in range(x.shape[1]):
+        score = np.concatenate([score, score + down[:, b, None], score + up[:, b, None]], 1)
+        steps = np.concatenate([steps, steps + 3**b, steps + 2 * 3**b], 1)
+        if score.shape[1] > probes:
+            best = np.argpartition(score, probes - 1, 1)[:, :probes]
+            score, steps = np.take_along_axis(score, best, 1), np.take_along_axis(steps, best, 1)
+    steps = np.take_along_axis(steps, np.argsort(score, 1, kind="stable"), 1)
+    moves = np.array([0, -1, 1])
+    return np.stack([base[:, None, b].astype(np.int64) + moves[steps // 3**b % 3] for b in range(x.shape[1])], 2)
 
 
 def _usable(vectors: DataFrame) -> DataFrame:
@@ -86,195 +93,168 @@ def _usable(vectors: DataFrame) -> DataFrame:
     return vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & good & F.exists("embedding", lambda x: x != 0))
 
 
-def fit(vectors: DataFrame, tables: int, bits: int, recall: float, k: int, sample: int, seed: int) -> Tables | None:
-    """Chooses width and probing depth on at most ``sample`` vectors, those whose hash is least."""
-    rows = vectors.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).collect()
-    if not rows:
+def fit(vectors: DataFrame, tables: int, bits: int, recall: float, k: int, sample: int, most_probes: int, seed: int) -> Tables | None:
+    """Chooses slot width and number of probes on at most ``sample`` vectors, those whose hash is least."""
+    squares = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    size, longest = vectors.agg(F.max(F.size("embedding")), F.max(squares)).first()
+    if size is None:
         return None
-    size = max(len(r[1]) for r in rows)
+    rows = vectors.select("vec_id", "embedding").orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).collect()
     some = np.array([list(r[1]) + [0.0] * (size - len(r[1])) for r in rows], np.float64)
-    longest = float(vectors.agg(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))).first()[0]) ** 0.5
     r = np.random.default_rng(seed)
     planes = r.normal(size=(tables, bits, size + 1))
     spread = (some @ planes[:, :, :size].reshape(-1, size).T).std()
-    found = Tables(planes, r.uniform(size=(tables, bits)), max(4.0 * float(spread), 1e-9), longest)
-    _directory(found, _count(_codes(found.slots(some))), 1 << 30)
-    asked = some[: min(256, len(some))]
+    shifts = r.uniform(size=(tables, bits))
+    asked = some[: min(200, len(some))]
     exact = asked @ some.T
     exact[np.arange(len(asked)), np.arange(len(asked))] = -np.inf
-    near = np.argsort(-exact, 1)[:, :k] if len(some) > k else None
-    projected, codes = found.project(asked, True), _codes(found.slots(some))
-    for share in (0.005, 0.01, 0.02, 0.03, 0.045, 0.06, 0.08, 0.1, 0.13, 0.16, 0.2, 0.25, 0.3, 0.4, 0.5, 0.7):
-        if near is None:
+    near = np.argsort(-exact, 1)[:, : min(k, max(1, len(some) - 1))]
+    for width in (2.0, 3.0, 4.0, 6.0, 9.0):  # the finest slots with which so many probes suffice
+        found = Tables(planes, shifts, max(width * float(spread), 1e-9), longest**0.5)
+        turn = np.sort(_turns(found, asked, some, near, most_probes), axis=None)
+        found.probes = min(int(turn[max(0, int(np.ceil(recall * turn.size)) - 1)]) + 1, most_probes)
+        if found.probes < most_probes:
             break
-        found.share = share
-        hit = np.zeros((len(asked), len(some)), bool)
-        for t in range(tables):
-            number = {b.tobytes(): i for i, b in enumerate(found.buckets[t])}
-            hit |= found.visited(projected[:, t], t)[:, [number[c] for c in codes[t]]]
-        if np.take_along_axis(hit, near, 1).mean() >= recall:
-            return found
-    found.share = 1.0
     return found
 
 
-def _count(codes: list[list[bytes]]) -> list[dict[bytes, int]]:
-    out = []
-    for table in codes:
-        counts: dict[bytes, int] = {}
-        for c in table:
-            counts[c] = counts.get(c, 0) + 1
-        out.append(counts)
-    return out
-
-
-def _directory(tables: Tables, counts: list[dict[bytes, int]], block_rows: int) -> int:
-    """Lists the buckets and packs them into blocks of about ``block_rows`` vectors; large ones are salted."""
-    tables.buckets, tables.counts, tables.blocks, tables.spread, block = [], [], [], [], 0
-    for table in counts:
-        names = sorted(table)
-        n = np.array([table[c] for c in names], np.int64)
-        first, spread, filled = np.zeros(len(n), np.int64), np.ones(len(n), np.int64), 0
-        for i, size in enumerate(n):
-            if size > block_rows:
-                spread[i] = -(-int(size) // block_rows)
-                block += 1
-                first[i] = block
-                block += int(spread[i]) - 1
-                filled = block_rows
-                continue
-            if filled + size > block_rows:
-                block, filled = block + 1, 0
-            first[i] = block
-            filled += int(size)
-        block += 1
-        tables.buckets.append(np.array([np.frombuffer(c, np.int8) for c in names]))
-        tables.counts.append(n)
-        tables.blocks.append(first)
-        tables.spread.append(spread)
-    return block
-
-
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, bits: int = 10, recall: float = 0.96, sample: int = 4000, block_rows: int = 8192, least: int = 2000, seed: int = 5) -> DataFrame:
+def _turns(found: Tables, asked: np.ndarray, some: np.ndarray, near: np.ndarray, most: int) -> np.ndarray:
+    """The probe that finds each neighbour, in the table where that is first; ``most`` if none does."""
+    home, turn = found.buckets(some), np.full(near.shape, most)
+    for i in range(0, len(asked), 50):
+        for q, probes in enumerate(found.visited(asked[i : i + 50], most)):
+            for t, numbers in enumerate(probes):
+                order = np.argsort(numbers, kind="stable")
+                wanted = home[near[i + q], t]
+                at = order[np.minimum(np.searchsorted(numbers, wanted, sorter=order), len(order) - 1)]
+                turn[i + q] = np.minimum(turn[i + q], np.where(numbers[at] == wanted, at, most))
+    return turn
+
+
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6, bits: int = 10, recall: float = 0.92, sample: int = 4000, most_probes: int = 4096, block_rows: int = 8192, seed: int = 5) -> DataFrame:
     """The ``k`` nearest of ``vectors`` for each of ``queries``: query_id, rank, vec_id, score.
 
     Nearness is the inner product of the original vectors in double precision, ties to the
     smaller vec_id; a query's own vec_id is no candidate.  Both tables have vec_id and embedding.
-    Every vector is indexed; only the slot width and the probing depth come from a sample of
-    ``sample`` vectors, deep enough for ``recall`` on it.  Where probing that deep in all tables
-    compares no fewer vectors than there are, and for up to ``least`` vectors, one table is visited
-    whole, which finds all neighbours.  Vectors that are null, zero, or hold null or non-finite components take no
-    part; where lengths differ, missing components count as zero.  Repeated rows (same vec_id and
-    components) count once, of different vectors with one vec_id the nearest counts.  Empty
-    tables give an empty result; further columns are not read.
+    Every vector is indexed; only the slot width and the number of probes, at most
+    ``most_probes`` for each table, come from a sample of ``sample`` vectors, enough for
+    ``recall`` on it.  A query whose buckets hold fewer than ``k`` others is compared with all.
+    Vectors that are null, zero, or hold null or non-finite components take no part; where
+    lengths differ, missing components count as zero.  Repeated rows (same vec_id and components)
+    count once, of different vectors with one vec_id the nearest counts.  Of equal vectors only
+    the k + 1 smallest vec_ids are indexed, as no others can be among the nearest.  Empty tables
+    give an empty result; further columns are not read.
     """
     schema = "query_id long, rank int, vec_id long, score double"
     spark = vectors.sparkSession
     folder = shared_folder(spark)
-    vectors = _usable(vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")))
-    queries = _usable(queries.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding")))
-    found = fit(vectors, tables, bits, recall, k, sample, seed)
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" == dict(queries.dtypes)["embedding"] else "array<double>"
+    vectors, queries = (_usable(d.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(kind).alias("embedding"))) for d in (vectors, queries))
+    found = fit(vectors, tables, bits, recall, k, sample, most_probes, seed)
     if found is None:
         return spark.createDataFrame([], schema)
     size = found.planes.shape[2] - 1
 
-    def matrix(batch: pa.RecordBatch) -> np.ndarray:
-        lists = batch.column("embedding")
-        lengths = np.asarray(lists.value_lengths())
-        if (lengths == size).all():
-            return np.asarray(lists.flatten()).reshape(-1, size)
-        return np.array([(x + [0.0] * size)[:size] for x in lists.to_pylist()]).reshape(-1, size)
-
-    def keys(batches) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                codes = _codes(found.slots(matrix(batch)))
-                rows = pa.array([[t.to_bytes(1, "big") + c for t, c in enumerate(row)] for row in zip(*codes, strict=True)], pa.list_(pa.binary()))
-                yield pa.RecordBatch.from_arrays([batch.column("vec_id"), batch.column("embedding"), rows], names=["vec_id", "embedding", "keys"])
-
-    indexed = written(vectors.mapInArrow(keys, "vec_id long, embedding array<double>, keys array<binary>"), "vectors", folder)
-    # at most tables * slots ** bits rows, whatever the number of vectors
-    listed = indexed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n")).collect()
-    counts: list[dict[bytes, int]] = [{} for _ in range(tables)]
-    for key, n in listed:
-        counts[key[0]][bytes(key[1:])] = n
-    total = sum(counts[0].values())
-    if found.share * tables >= 1 or total <= least:
-        # still dealt over some tens of blocks, as one table has fewer than all
-        found.share, counts, block_rows = 1.0, counts[:1], min(block_rows, max(512, total // 64))
-    n_blocks = _directory(found, counts, block_rows)
-    home = [{b.tobytes(): i for i, b in enumerate(slots)} for slots in found.buckets]
+    def matrix(lists: pa.Array) -> np.ndarray:
+        if (np.asarray(lists.value_lengths()) == size).all():
+            return np.asarray(lists.flatten()).astype(np.float64).reshape(-1, size)
+        return np.array([(x + [0.0] * size)[:size] for x in lists.to_pylist()], np.float64).reshape(-1, size)
 
     def place(batches) -> Iterator[pa.RecordBatch]:
-        """Each vector once for each table searched, with its block and bucket."""
+        """Each vector once for each table, with its bucket."""
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids, rows = np.asarray(batch.column("vec_id")), batch.column("keys").to_pylist()
-            number = np.array([[h[bytes(key[1:])] for h, key in zip(home, row)] for row in rows])  # noqa: B905
-            for t in range(len(home)):
-                salt = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64) % found.spread[t][number[:, t]]
-                block = found.blocks[t][number[:, t]] + salt
-                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(np.full(len(ids), t, np.int32)), pa.array(number[:, t].astype(np.int32)), batch.column("vec_id"), batch.column("embedding")], names=["block", "table", "bucket", "vec_id", "embedding"])
+            if batch.num_rows:
+                for numbers in found.buckets(matrix(batch.column("embedding"))).T:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(numbers)), batch.column("vec_id"), batch.column("embedding")], names=["bucket", "vec_id", "embedding"])
 
     def visit(batches) -> Iterator[pa.RecordBatch]:
-        """Each query once for each block that has a bucket it visits."""
+        """Each query with the buckets it visits."""
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                projected = found.project(matrix(part), True)
-                for t in range(len(home)):
-                    q, b = np.nonzero(found.visited(projected[:, t], t))
-                    first, more = found.blocks[t][b], found.spread[t][b]
-                    ahead = np.arange(int(more.sum())) - np.repeat(np.cumsum(more) - more, more)
-                    pairs = np.unique(np.stack([np.repeat(q, more), np.repeat(first, more) + ahead], 1), axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 1]), pa.array(np.full(len(pairs), t, np.int32)), *(part.column(c).take(pa.array(pairs[:, 0])) for c in ("vec_id", "embedding"))], names=["block", "table", "vec_id", "embedding"])
-
-    def search(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        """Exact inner products of a block's queries with the vectors of the buckets they visit: the best of each query."""
-        ids, asked, scores = [], [], []
+            for a in range(0, batch.num_rows, 64):
+                part = batch.slice(a, 64)
+                numbers = found.visited(matrix(part.column("embedding"))).reshape(part.num_rows, -1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * numbers.shape[1]), pa.array(numbers.reshape(-1)))
+                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("embedding"), lists], names=["vec_id", "embedding", "buckets"])
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Exact inner products of a block's queries with the vectors of the buckets they visit: the k best of each query."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if left.num_rows and right.num_rows:
-            v = matrix(left.combine_chunks().to_batches()[0])
-            vec_id, bucket, t = np.asarray(left.column("vec_id")), np.asarray(left.column("bucket")), left.column("table")[0].as_py()
+            left, right = left.combine_chunks(), right.combine_chunks()
+            order = np.argsort(np.asarray(left.column("bucket")), kind="stable")
+            bucket, vec_id = (np.asarray(left.column(c))[order] for c in ("bucket", "vec_id"))
+            v = matrix(left.column("embedding").chunk(0))[order]
             by_id = np.argsort(vec_id, kind="stable")
-            v, vec_id, bucket = v[by_id], vec_id[by_id], bucket[by_id]
-            starts = np.flatnonzero(np.r_[True, vec_id[1:] != vec_id[:-1]])
-            for batch in right.combine_chunks().to_batches(max_chunksize=256):
-                q, own = matrix(batch), np.asarray(batch.column("vec_id"))
-                product = q @ v.T
-                product[~found.visited(found.project(q, True)[:, t], t)[:, bucket]] = -np.inf
+            starts = np.flatnonzero(np.r_[True, vec_id[by_id][1:] != vec_id[by_id][:-1]])
+            for batch in right.to_batches(max_chunksize=512):
+                q, own = matrix(batch.column("embedding")), np.asarray(batch.column("vec_id"))
+                lists = batch.column("buckets")
+                row, asked = np.repeat(np.arange(len(q)), np.asarray(lists.value_lengths())), np.asarray(lists.flatten())
+                line = np.argsort(asked, kind="stable")
+                row, asked = row[line], asked[line]
+                product = np.full((len(q), len(v)), -np.inf)
+                names, first = np.unique(asked, return_index=True)
+                begin, end = np.searchsorted(bucket, names, "left"), np.searchsorted(bucket, names, "right")
+                for a, z, i, j in zip(first, [*first[1:], len(asked)], begin, end, strict=True):
+                    if i < j:  # only the vectors of buckets that are visited are compared
+                        product[row[a:z], i:j] = q[row[a:z]] @ v[i:j].T
                 product[own[:, None] == vec_id[None, :]] = -np.inf
-                # each id's greatest product, so that rows of one id take one of the k places
-                most = product if len(starts) == len(vec_id) else np.maximum.reduceat(product, starts, axis=1)
-                for i, row in enumerate(product):
-                    at = np.flatnonzero(row > -np.inf) if len(starts) <= k else np.flatnonzero((row >= np.partition(most[i], -k)[-k]) & (row > -np.inf))
-                    # summed in one order for each pair, whatever the block
-                    best = _best(vec_id[at], (q[i] * v[at]).sum(1), k)
-                    asked.append(own[i])
-                    ids.append(best[0])
-                    scores.append(best[1])
-        return pa.table({"query_id": pa.array(asked, pa.int64()), "block": pa.array([key[0].as_py()] * len(asked), pa.int64()), "ids": pa.array(ids, pa.list_(pa.int64())), "scores": pa.array(scores, pa.list_(pa.float64()))})
-
-    def merge(table: pa.Table) -> pa.Table:
-        """The best of a query's hits, as one row."""
-        ids, scores = (np.asarray(table.column(c).combine_chunks().flatten()) for c in ("ids", "scores"))
-        best = _best(ids, scores, k)
-        return pa.table({"query_id": table.column("query_id").slice(0, 1), "block": table.column("block").slice(0, 1), "ids": pa.array([best[0]], pa.list_(pa.int64())), "scores": pa.array([best[1]], pa.list_(pa.float64()))})
-
-    left = indexed.mapInArrow(place, "block long, table int, bucket int, vec_id long, embedding array<double>")
-    right = queries.mapInArrow(visit, "block long, table int, vec_id long, embedding array<double>")
-    kind = "query_id long, block long, ids array<long>, scores array<double>"
-    hits = left.groupBy("block").cogroup(right.groupBy("block")).applyInArrow(search, kind)
-    if n_blocks > 256:  # a query's hits meet in two steps, so that none holds those of more than 256 blocks at first
-        hits = hits.groupBy("query_id", F.floor(F.col("block") / 256)).applyInArrow(merge, kind)
-    merged = hits.groupBy("query_id").applyInArrow(merge, kind)
-    ranked = merged.select("query_id", F.posexplode(F.arrays_zip("ids", "scores")).alias("place", "x"))
-    return ranked.select("query_id", (F.col("place") + 1).alias("rank"), F.col("x.ids").alias("vec_id"), F.col("x.scores").alias("score"))
-
-
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k ids with the greatest scores, ties to the smaller id, each id once."""
-    order = np.lexsort((ids, -scores))
-    ids, scores = ids[order], scores[order]
-    first = np.sort(np.unique(ids, return_index=True)[1])[:k]
-    return ids[first], scores[first]
+                # each id's greatest product, so that vectors of one id take one of the k places
+                most = product if len(starts) == len(vec_id) else np.maximum.reduceat(product[:, by_id], starts, axis=1)
+                # the matrix product may differ in its last bits from the sum that is returned
+                least = np.partition(most, -k, 1)[:, -k, None] - 1e-9 if most.shape[1] > k else -np.inf
+                r, c = np.nonzero((product >= least) & (product > -np.inf))
+                out.append(_best(own[r], vec_id[c], np.concatenate([(q[r[i : i + 65536]] * v[c[i : i + 65536]]).sum(1) for i in range(0, len(r), 65536)] or [np.zeros(0)]), k))
+        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+
+    # a row for each of at most k + 1 ids of a vector; Spark limits each group before it is shuffled
+    alike = Window.partitionBy("embedding").orderBy("vec_id")
+    single = vectors.distinct().withColumn("n", F.row_number().over(alike)).where(F.col("n") <= k + 1).drop("n")
+    left = written(single.mapInArrow(place, f"bucket long, vec_id long, embedding {kind}"), "vectors", folder)
+    right = written(queries.distinct().mapInArrow(visit, f"vec_id long, embedding {kind}, buckets array<long>"), "queries", folder)
+    # blocks hold some buckets each; a large bucket is cut into parts of its own, and so are the queries that visit it
+    blocks = max(1, -(-left.count() // block_rows))
+    usual = F.pmod(F.xxhash64("bucket"), F.lit(blocks))
+    probes = right.select("vec_id", F.explode(F.array_distinct("buckets")).alias("bucket"))
+    large = left.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts")).where("parts > 1")
+    asked = probes.join(large, "bucket").groupBy("bucket", "parts").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("shares"))
+    large = written(asked, "large", folder)
+    cell = lambda part, share: F.when(F.col("parts").isNull(), F.struct(usual.alias("block"), F.lit(-1).cast("long").alias("part"), F.lit(-1).cast("long").alias("share"))).otherwise(F.struct(F.col("bucket").alias("block"), part.alias("part"), share.alias("share")))
+    salt = lambda n: F.pmod(F.xxhash64("vec_id"), F.coalesce(n, F.lit(1)))
+    every = lambda n: F.sequence(F.lit(0).cast("long"), F.coalesce(n, F.lit(1)).cast("long") - 1)
+    left = left.join(large, "bucket", "left").withColumn("share", F.explode(every(F.col("shares")))).withColumn("cell", cell(salt(F.col("parts")), F.col("share")))
+    probes = probes.join(large, "bucket", "left").withColumn("part", F.explode(every(F.col("parts")))).withColumn("cell", cell(F.col("part"), salt(F.col("shares"))))
+    visits = probes.groupBy("vec_id", "cell").agg(F.collect_list("bucket").alias("buckets")).join(right.select("vec_id", "embedding"), "vec_id")
+    answer = "query_id long, vec_id long, score double"
+    hits = left.select("cell", "bucket", "vec_id", "embedding").groupBy("cell").cogroup(visits.groupBy("cell")).applyInArrow(search, answer)
+    hits = written(_ranked(hits, k), "hits", folder)
+    # queries whose buckets hold fewer than k others meet all vectors, block by block
+    full = hits.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
+    short = written(right.select("vec_id", "embedding").join(full, "vec_id", "left_anti"), "short", folder)
+    if not short.isEmpty():
+        spread = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
+        left = single.select(spread.alias("cell"), F.lit(0).cast("long").alias("bucket"), "vec_id", "embedding")
+        visits = short.select("vec_id", "embedding", F.array(F.lit(0).cast("long")).alias("buckets"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks).cast("long") - 1)).alias("cell"))
+        rest = left.groupBy("cell").cogroup(visits.select("vec_id", "cell", "buckets", "embedding").groupBy("cell")).applyInArrow(search, answer)
+        hits = _ranked(hits.select("query_id", "vec_id", "score").unionByName(rest), k)
+    return hits
+
+
+def _ranked(hits: DataFrame, k: int) -> DataFrame:
+    """The k best of each query, each id once."""
+    merged = hits.repartition("query_id").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return merged.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _best(query: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each query the k ids with the greatest scores, ties to the smaller id, each id once."""
+    order = np.lexsort((-scores, ids, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    once = np.r_[True, (query[1:] != query[:-1]) | (ids[1:] != ids[:-1])] if len(ids) else np.zeros(0, bool)
+    query, ids, scores = query[once], ids[once], scores[once]
+    order = np.lexsort((ids, -scores, query))
+    query, ids, scores = query[order], ids[order], scores[order]
+    start = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.zeros(0, np.int64)
+    rank = np.arange(len(query)) - np.repeat(start, np.diff(np.r_[start, len(query)]))
+    return query[rank < k], ids[rank < k], scores[rank < k]
