@@ -190,13 +190,13 @@ def _backward(found: np.ndarray, forward: np.ndarray, at: np.ndarray) -> np.ndar
 
 
 def fit(docs: DataFrame, per_label: int = 150, longest: int = 10_000, buckets: int = 1 << 16, rounds: int = 20, train=None) -> LanguageField:
-    """Learns from at most ``per_label`` texts of each non-null lang, of up to ``longest`` characters each."""
-    known = docs.select("doc_id", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    """Learns from ``per_label`` ids of each non-null lang that have a text of up to ``longest`` characters, all where there are fewer; an empty table teaches nothing."""
+    short = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") <= longest))
     if train is not None:
-        known = known.where(train)
-    ids = sample_ids(known, "lang", per_label).select("doc_id").distinct()
+        short = short.where(train)
+    ids = sample_ids(short.select("doc_id", "lang"), "lang", per_label).select("doc_id").distinct()
     # at most per_label ids for each language, so they may be broadcast
-    rows = docs.select("doc_id", "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull()).join(F.broadcast(ids), "doc_id").where(F.length("text") <= longest).collect()
+    rows = short.join(F.broadcast(ids), "doc_id").collect()
     rows = sorted(rows, key=lambda r: (r.doc_id, r.lang, r.text))
     labels = sorted({r.lang for r in rows})
     field = LanguageField(labels, buckets)
@@ -208,8 +208,9 @@ def identify(docs: DataFrame, field: LanguageField) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) for every row of ``docs``.
 
     Row by row, without a shuffle: whole texts; repeated rows give repeated results; a text that
-    is null or has no letter is ``und`` with score 0; with nothing learned all are; further
-    columns are not read.
+    is null or has no letter is ``und`` with score 0; with nothing learned all are; of equally
+    likely labels the first in alphabetical order counts; an empty table gives an empty result;
+    further columns are not read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -89,7 +89,8 @@ def score_documents(docs: DataFrame, model: CompressionClassifier, threshold: fl
     """doc_id, score and predicted (1 if score >= threshold) for every row of ``docs``.
 
     Row by row, without a shuffle: whole texts, repeated rows give repeated results, null, empty
-    and blank texts get the labels' share as their score, and further columns are not read.
+    and blank texts get the labels' share as their score, an empty table gives an empty result,
+    and further columns are not read.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -21,19 +21,22 @@ def sample_ids(rows: DataFrame, label: str, most: int) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, most: int, longest: int, train=None) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """(text, label) of at most ``most`` labelled documents for each label; texts over ``longest`` are not learned from.
+    """(text, label) of ``most`` labelled documents for each label, all where there are fewer.
 
-    With them the number of all labelled ids of each label, whatever the size of the sample.  Label rows that contradict each other for one id count once, by their greatest value; null labels don't count.
+    Drawn from the ids that have a text of at most ``longest`` characters, which bounds what the
+    driver holds; of several such texts of one id the least counts.  With them the number of all
+    labelled ids of each label, whatever the sample.  Label rows that contradict each other for
+    one id count once, by their greatest value, so as label 1; null labels don't count.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("y")).where(F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
     if train is not None:
         known = known.where(train)
     known = known.groupBy("doc_id").agg(F.max("y").alias("y"))
     counts = {0: 0, 1: 0} | {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
-    ids = sample_ids(known, "y", most)
+    short = docs.select("doc_id", "text").where(F.length("text") <= longest)
+    ids = sample_ids(known.join(short.select("doc_id"), "doc_id", "left_semi"), "y", most)
     # at most 2 * most ids, so they may be broadcast
-    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").where(F.length("text") <= longest)
-    rows = rows.withColumn("__n", F.xxhash64("doc_id", F.lit(11)))
+    rows = short.join(F.broadcast(ids), "doc_id").withColumn("__n", F.xxhash64("doc_id", F.lit(11)))
     best = rows.groupBy("doc_id").agg(F.first("y").alias("y"), F.min("text").alias("text"), F.first("__n").alias("n"))
     return [(r[0], r[1]) for r in best.orderBy("n", "doc_id").select("text", "y").collect()], counts
 

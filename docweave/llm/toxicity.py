@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 The index holds a bounded sample of labelled texts.  Its terms are the words and word starts
-whose document frequencies differ between the two labels; postings are cut into blocks of
+whose document frequencies differ between the two labels (with all terms the nearest are texts of
+the same topic, whatever their label: the README has the figures); postings are cut into blocks of
 examples, each with the greatest weight of every term.  For a text the blocks are taken in the
 order of their upper bounds until no other block can hold one of the k nearest, so the k nearest
 are exact.  Their votes, weighted by distance, are calibrated to a score.
@@ -163,7 +164,8 @@ def score_documents(docs: DataFrame, model: NeighbourVotes, threshold: float = 0
 
     Row by row, without a shuffle: whole texts, repeated rows give repeated results, null and
     empty texts and texts without a known term get the score of no neighbours.  Evidence is an
-    array of (example, label, cosine), nearest first.  Further columns are not read.
+    array of (example, label, cosine), nearest first, ties to the earlier example.  An empty table
+    gives an empty result; further columns are not read.
     """
     kind = pa.list_(pa.struct([("example", pa.int64()), ("label", pa.int64()), ("cosine", pa.float64())]))
 
@@ -182,7 +184,7 @@ def score_documents(docs: DataFrame, model: NeighbourVotes, threshold: float = 0
 
 
 def without_toxic(docs: DataFrame, model: NeighbourVotes, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose text scores under ``threshold``."""
+    """The rows of ``docs``, all columns as they are, whose text scores under ``threshold``; null and empty texts have the score of no neighbours, repeated rows fare alike, an empty table stays empty."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches):

@@ -7,11 +7,13 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from docweave.llm import languages, quality, toxicity
 from docweave.llm.common import fold
 from docweave.llm.queries import op3_toxicity, op4_quality, op7_languages
+from docweave.llm.samples import labelled_sample
 
 DATA = "/root/testdata/sf0.01"
 EDGES = [(1, None), (2, ""), (3, "   \n"), (4, "123 !!"), (5, "word"), (5, "word"), (6, "very long " * 30_000)]
@@ -148,3 +150,24 @@ def test_code_switching():
     field.train(["der die und nicht eine zu", "the and of with this from"] * 20, [0, 1] * 20)
     found, size, _ = field.label_words(languages.lowered(pa.array(["the and of und nicht eine der"])))
     assert [int(p.argmax()) for p in found] == [1, 1, 1, 0, 0, 0, 0]
+
+
+def test_quality_plainly(spark):
+    """Scores from two compressors made on the spot."""
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality.fit(docs, labels)
+    got = {(r.doc_id, r.score) for r in quality.score_documents(docs, model).collect()}
+    expected = set()
+    for r in docs.collect():
+        data = (r.text or "").encode()
+        sizes = [len(zstandard.ZstdCompressor(level=3, dict_data=zstandard.ZstdCompressionDict(d), write_content_size=False, write_dict_id=False).compress(data)) for d in (model.bad, model.good)]
+        x = model.slope * (sizes[0] - sizes[1]) / (len(data) + 16) + model.shift
+        expected.add((r.doc_id, round(1 / (1 + math.exp(-x)) if data.strip() else model.prior, 9)))
+    assert {(i, round(x, 9)) for i, x in got} == expected
+
+
+def test_sample_is_drawn_among_short_texts(spark):
+    docs = spark.createDataFrame([(i, "x" * (50 if i % 2 else 5)) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 4 // 2) for i in range(40)], "doc_id long, toxic int")
+    rows, counts = labelled_sample(docs, labels, "toxic", 6, 10)
+    assert sorted(y for _, y in rows) == [0] * 6 + [1] * 6 and counts == {0: 20, 1: 20}
