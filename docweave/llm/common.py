@@ -82,12 +82,12 @@ def with_row_id(docs: DataFrame, name: str = "rid") -> DataFrame:
     names = sorted(r[0] for r in docs.select(meta["file_path"]).distinct().collect())
     if len(names) <= 1:
         return docs.withColumn(name, meta["row_index"])
-    numbers = docs.sparkSession.createDataFrame(list(enumerate(names)), f"{fresh('__file', docs)} long, {path} string")
-    number = F.col(numbers.columns[0])
+    number = fresh("__file", docs)
+    numbers = docs.sparkSession.range(1).select(F.posexplode(F.split(F.lit("\0".join(names)), "\\x00")).alias(number, path))
     kept = [F.col(f"`{c}`") for c in docs.columns if c != name]
     place = fresh("__place", docs)
     there = docs.select(*kept, meta["file_path"].alias(path), meta["row_index"].alias(place))
-    return there.join(F.broadcast(numbers), path).select(*kept, (number * F.lit(1 << 40) + F.col(place)).alias(name))
+    return there.join(F.broadcast(numbers), path).select(*kept, (F.col(number) * F.lit(1 << 40) + F.col(place)).alias(name))
 
 
 def fold(doc_id: Column, n: int) -> Column:
