@@ -66,6 +66,10 @@ def bucket_number(slots: np.ndarray, table: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def block_of(numbers: np.ndarray, blocks: int) -> np.ndarray:
+    return (rolling.mix(numbers.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+
+
 def perturbed(x: np.ndarray, probes: int) -> np.ndarray:
     """query, probe, bit: the slots of the ``probes`` buckets with the least squared distance from each query, nearest first.
 
@@ -167,14 +171,19 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
                 for numbers in found.buckets(matrix(batch.column("embedding"))).T:
                     yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(numbers)), batch.column("vec_id"), batch.column("embedding")], names=["bucket", "vec_id", "embedding"])
 
-    def visit(batches) -> Iterator[pa.RecordBatch]:
-        """Each query with the buckets it visits."""
+    def visit(batches, blocks: int) -> Iterator[pa.RecordBatch]:
+        """Each query once for each block (of ``blocks``, 0 if each bucket is one), with the buckets it visits there."""
         for batch in batches:
             for a in range(0, batch.num_rows, 64):
                 part = batch.slice(a, 64)
                 numbers = found.visited(matrix(part.column("embedding"))).reshape(part.num_rows, -1)
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * numbers.shape[1]), pa.array(numbers.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column("vec_id"), part.column("embedding"), lists], names=["vec_id", "embedding", "buckets"])
+                for query, own in enumerate(np.sort(numbers, 1)):
+                    block = block_of(own, blocks) if blocks else own
+                    order = np.argsort(block, kind="stable")
+                    first = np.flatnonzero(np.r_[True, np.diff(block[order]) != 0])
+                    lists = pa.ListArray.from_arrays(pa.array(np.r_[first, len(own)].astype(np.int32)), pa.array(own[order]))
+                    at = pa.array(np.full(len(first), query))
+                    yield pa.RecordBatch.from_arrays([pa.array(block[order][first]), *(part.column(c).take(at) for c in ("vec_id", "embedding")), lists], names=["block", "vec_id", "embedding", "buckets"])
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         """Exact inner products of a block's queries with the vectors of the buckets they visit: the k best of each query."""
@@ -186,7 +195,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
             v = matrix(left.column("embedding").chunk(0))[order]
             by_id = np.argsort(vec_id, kind="stable")
             starts = np.flatnonzero(np.r_[True, vec_id[by_id][1:] != vec_id[by_id][:-1]])
-            for batch in right.to_batches(max_chunksize=512):
+            for batch in right.to_batches(max_chunksize=256):
                 q, own = matrix(batch.column("embedding")), np.asarray(batch.column("vec_id"))
                 lists = batch.column("buckets")
                 row, asked = np.repeat(np.arange(len(q)), np.asarray(lists.value_lengths())), np.asarray(lists.flatten())
@@ -205,38 +214,59 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, tables: int = 6
                 least = np.partition(most, -k, 1)[:, -k, None] - 1e-9 if most.shape[1] > k else -np.inf
                 r, c = np.nonzero((product >= least) & (product > -np.inf))
                 out.append(_best(own[r], vec_id[c], np.concatenate([(q[r[i : i + 65536]] * v[c[i : i + 65536]]).sum(1) for i in range(0, len(r), 65536)] or [np.zeros(0)]), k))
-        return pa.table(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out, strict=True)), strict=True)))
+        query, ids, scores = map(np.concatenate, zip(*out, strict=True))
+        first = np.flatnonzero(np.r_[True, np.diff(query) != 0]) if len(query) else np.zeros(0, np.int64)
+        hits = pa.ListArray.from_arrays(pa.array(np.r_[first, len(query)].astype(np.int32)), pa.StructArray.from_arrays([pa.array(ids), pa.array(scores)], ["vec_id", "score"]))
+        return pa.table({"query_id": pa.array(query[first]), "hits": hits})
 
     # a row for each of at most k + 1 ids of a vector; Spark limits each group before it is shuffled
     alike = Window.partitionBy("embedding").orderBy("vec_id")
     single = vectors.distinct().withColumn("n", F.row_number().over(alike)).where(F.col("n") <= k + 1).drop("n")
     left = written(single.mapInArrow(place, f"bucket long, vec_id long, embedding {kind}"), "vectors", folder)
-    right = written(queries.distinct().mapInArrow(visit, f"vec_id long, embedding {kind}, buckets array<long>"), "queries", folder)
-    # blocks hold some buckets each; a large bucket is cut into parts of its own, and so are the queries that visit it
-    blocks = max(1, -(-left.count() // block_rows))
-    usual = F.pmod(F.xxhash64("bucket"), F.lit(blocks))
-    probes = right.select("vec_id", F.explode(F.array_distinct("buckets")).alias("bucket"))
-    large = left.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("parts")).where("parts > 1")
-    asked = probes.join(large, "bucket").groupBy("bucket", "parts").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("shares"))
-    large = written(asked, "large", folder)
-    cell = lambda part, share: F.when(F.col("parts").isNull(), F.struct(usual.alias("block"), F.lit(-1).cast("long").alias("part"), F.lit(-1).cast("long").alias("share"))).otherwise(F.struct(F.col("bucket").alias("block"), part.alias("part"), share.alias("share")))
-    salt = lambda n: F.pmod(F.xxhash64("vec_id"), F.coalesce(n, F.lit(1)))
-    every = lambda n: F.sequence(F.lit(0).cast("long"), F.coalesce(n, F.lit(1)).cast("long") - 1)
-    left = left.join(large, "bucket", "left").withColumn("share", F.explode(every(F.col("shares")))).withColumn("cell", cell(salt(F.col("parts")), F.col("share")))
-    probes = probes.join(large, "bucket", "left").withColumn("part", F.explode(every(F.col("parts")))).withColumn("cell", cell(F.col("part"), salt(F.col("shares"))))
-    visits = probes.groupBy("vec_id", "cell").agg(F.collect_list("bucket").alias("buckets")).join(right.select("vec_id", "embedding"), "vec_id")
-    answer = "query_id long, vec_id long, score double"
-    hits = left.select("cell", "bucket", "vec_id", "embedding").groupBy("cell").cogroup(visits.groupBy("cell")).applyInArrow(search, answer)
-    hits = written(_ranked(hits, k), "hits", folder)
+    asked = queries.distinct()
+    # blocks hold some buckets each, and there are some tens of them however few vectors there are
+    count = left.count()
+    block_rows = min(block_rows, max(512, count // 64))
+    blocks = max(1, -(-count // block_rows))
+    nothing = F.lit(-1).cast("long")
+    cell = lambda block, part, share: F.struct(block.alias("block"), part.alias("part"), share.alias("share")).alias("cell")
+    visits = asked.mapInArrow(lambda it: visit(it, blocks), f"block long, vec_id long, embedding {kind}, buckets array<long>")
+    visits = visits.select(cell(F.col("block"), nothing, nothing), "vec_id", "embedding", "buckets")
+    # a large bucket is cut into parts of its own, and the queries that visit it into shares
+    large = written(left.groupBy("bucket").agg(F.count("*").alias("rows")).where(F.col("rows") > block_rows), "large", folder)
+    if large.isEmpty():
+        inside = left
+    else:
+        inside = left.join(large.select("bucket"), "bucket", "left_anti")
+
+    def with_block(batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(block_of(np.asarray(batch.column("bucket")), blocks)), *batch.columns], names=["block", *batch.schema.names])
+
+    placed = inside.mapInArrow(with_block, f"block long, bucket long, vec_id long, embedding {kind}").select(cell(F.col("block"), nothing, nothing), "bucket", "vec_id", "embedding")
+    if not large.isEmpty():
+        probes = asked.mapInArrow(lambda it: visit(it, 0), f"bucket long, vec_id long, embedding {kind}, buckets array<long>").join(large, "bucket")
+        probes = written(probes, "probes", folder)
+        shares = probes.groupBy("bucket").agg(F.ceil(F.count("*") / F.lit(block_rows)).alias("shares"))
+        cut = large.join(shares, "bucket").withColumn("parts", F.ceil(F.col("rows") / F.lit(block_rows))).drop("rows")
+        salt = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        more = left.join(cut, "bucket").withColumn("share", every("shares"))
+        placed = placed.unionByName(more.select(cell(F.col("bucket"), salt("parts"), F.col("share")), "bucket", "vec_id", "embedding"))
+        more = probes.drop("rows").join(cut, "bucket").withColumn("part", every("parts"))
+        visits = visits.unionByName(more.select(cell(F.col("bucket"), F.col("part"), salt("shares")), "vec_id", "embedding", "buckets"))
+    answer = "query_id long, hits array<struct<vec_id:long,score:double>>"
+    hits = placed.groupBy("cell").cogroup(visits.groupBy("cell")).applyInArrow(search, answer)
+    hits = written(_ranked(hits.select("query_id", F.inline("hits")), k), "hits", folder)
     # queries whose buckets hold fewer than k others meet all vectors, block by block
     full = hits.where(F.col("rank") == k).select(F.col("query_id").alias("vec_id"))
-    short = written(right.select("vec_id", "embedding").join(full, "vec_id", "left_anti"), "short", folder)
+    short = written(asked.join(full, "vec_id", "left_anti"), "short", folder)
     if not short.isEmpty():
         spread = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
         left = single.select(spread.alias("cell"), F.lit(0).cast("long").alias("bucket"), "vec_id", "embedding")
         visits = short.select("vec_id", "embedding", F.array(F.lit(0).cast("long")).alias("buckets"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks).cast("long") - 1)).alias("cell"))
         rest = left.groupBy("cell").cogroup(visits.select("vec_id", "cell", "buckets", "embedding").groupBy("cell")).applyInArrow(search, answer)
-        hits = _ranked(hits.select("query_id", "vec_id", "score").unionByName(rest), k)
+        hits = _ranked(hits.select("query_id", "vec_id", "score").unionByName(rest.select("query_id", F.inline("hits"))), k)
     return hits
 
 
