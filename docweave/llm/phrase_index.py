@@ -1,8 +1,8 @@
 """Benchmark decontamination: a positional inverted index and phrase search, in DataFrame operations.
 
-The index stores postings (term, row, place, next term) of the training texts for the terms that
-the benchmark has.  A phrase is sought from its rarest term: the list of that term, shifted by
-the term's place in the phrase and met with the list of the term beside it, gives candidate
+The terms of the benchmark are counted in the training texts; each phrase is then sought from its
+rarest term and the term behind it, and the index stores the postings (term, next term, row,
+place) of those rarest terms.  A list, shifted by its term's place in the phrase, gives candidate
 starts; the other terms are compared in place.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docweave.llm.common import shared_folder, with_row_id, written
+from docweave.llm.common import fresh, shared_folder, with_row_id, written
 
 #: What separates words after A-Z are lower-cased (fixed values of the contract).
 _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -41,12 +41,17 @@ def postings(numbered: DataFrame, terms: DataFrame) -> DataFrame:
     return tokens.select(F.col("t.term").alias("term"), F.col("t.next").alias("next"), "rid", "pos").join(terms, "term", "left_semi")
 
 
-def anchors(windows: DataFrame, index: DataFrame) -> DataFrame:
+def counts_of(numbered: DataFrame, terms: DataFrame) -> DataFrame:
+    """(term, n): how often each of the terms occurs in ``numbered`` (text); counted before the shuffle."""
+    tokens = numbered.select(F.explode(words_of(F.col("text"))).alias("term"))
+    return tokens.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+
+
+def anchors(windows: DataFrame, counts: DataFrame) -> DataFrame:
     """For each window its rarest term that has a neighbour behind it: term, next, place, words, items.
 
     Windows with a term that no text has cannot occur and are left out.
     """
-    counts = index.groupBy("term").agg(F.count("*").alias("n"))
     terms = windows.select("words", "items", F.posexplode("words").alias("k", "term")).join(counts, "term")
     usable = F.when((F.col("k") < F.size("words") - 1) | (F.size("words") == 1), F.struct("n", "k", "term"))
     best = terms.groupBy("words").agg(F.min(usable).alias("best"), F.count("*").alias("known"), F.first("items").alias("items")).where(F.col("known") == F.size("words"))
@@ -59,30 +64,35 @@ def find_phrases(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFra
     Returns for each row of ``docs`` its columns and n_words, n_hit (words in any occurrence),
     items (sorted item_ids, as text, with occurring windows), and spans (start and words of each
     occurrence).  Null and empty texts have no words; repeated rows are judged each; null or
-    empty items have no windows; an empty table of either kind gives no hits; columns of
-    ``docs`` with one of these names are replaced.
+    empty items have no windows; of equally rare terms the first in the window is sought; an
+    empty table of either kind gives no hits; columns of ``docs`` with one of these four names
+    are replaced, all others are kept.  ``docs`` is read several times, see ``with_row_id``.
     """
     folder = shared_folder(docs.sparkSession)
-    own = [c for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")]
-    numbered = with_row_id(docs.select(*own), "__rid")
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "n_hit", "items", "spans")]
+    rid, at, seen, hit = (fresh(c, docs) for c in ("__rid", "__c", "__w", "__hits"))
+    docs = with_row_id(docs, rid)
+    numbered = docs.select(F.col(rid).alias("rid"), "text")
     windows = written(phrases(items, length), "phrases", folder)
     terms = windows.select(F.explode("words").alias("term")).distinct()
-    index = written(postings(numbered.select(F.col("__rid").alias("rid"), "text"), terms), "postings", folder)
-    sought = written(anchors(windows, index), "anchors", folder)
+    sought = written(anchors(windows, counts_of(numbered, terms)), "anchors", folder)
+    index = written(postings(numbered, sought.select("term").distinct()), "postings", folder)
+    # items of one word have no term behind theirs
     alone = F.size("words") == 1
-    met = index.alias("p").join(sought.alias("s"), (F.col("p.term") == F.col("s.term")) & (F.col("p.next").eqNullSafe(F.col("s.next")) | alone))
-    found = met.where(F.col("pos") >= F.col("k")).select(F.col("rid").alias("__rid"), F.struct((F.col("pos") - F.col("k")).alias("start"), "words", "items").alias("c"))
-    found = found.groupBy("__rid").agg(F.collect_list("c").alias("__c"))
-    out = numbered.join(found, "__rid", "left").withColumn("__w", words_of(F.col("text")))
-    hits = F.filter(F.coalesce(F.col("__c"), F.array()), lambda c: F.slice(F.col("__w"), c["start"] + 1, F.size(c["words"])) == c["words"])
-    out = out.withColumn("__hits", hits)
-    places = F.array_distinct(F.flatten(F.transform("__hits", lambda c: F.sequence(c["start"], c["start"] + F.size(c["words"]) - 1))))
+    met = index.join(sought.where(~alone), ["term", "next"]).select("rid", "pos", "k", "words", "items")
+    met = met.unionByName(index.join(sought.where(alone).drop("next"), "term").select("rid", "pos", "k", "words", "items"))
+    found = met.where(F.col("pos") >= F.col("k")).select("rid", F.struct((F.col("pos") - F.col("k")).alias("start"), "words", "items").alias("c"))
+    found = found.groupBy(F.col("rid").alias(rid)).agg(F.collect_list("c").alias(at))
+    out = docs.join(found, rid, "left").withColumn(seen, words_of(F.col("text")))
+    hits = F.filter(F.coalesce(F.col(at), F.array()), lambda c: F.slice(F.col(seen), c["start"] + 1, F.size(c["words"])) == c["words"])
+    out = out.withColumn(hit, hits)
+    places = F.array_distinct(F.flatten(F.transform(hit, lambda c: F.sequence(c["start"], c["start"] + F.size(c["words"]) - 1))))
     return out.select(
         *own,
-        F.size("__w").cast("long").alias("n_words"),
+        F.size(seen).cast("long").alias("n_words"),
         F.size(places).cast("long").alias("n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("__hits", lambda c: c["items"])))).alias("items"),
-        F.transform("__hits", lambda c: F.struct(c["start"].alias("start"), c["words"].alias("words"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(hit, lambda c: c["items"])))).alias("items"),
+        F.transform(hit, lambda c: F.struct(c["start"].alias("start"), c["words"].alias("words"))).alias("spans"),
     )
 
 
@@ -90,12 +100,12 @@ def find_near(docs: DataFrame, items: DataFrame, length: int = 10, slop: int = 5
     """Proximity matches: (doc_id, words) where the two rarest terms of a window are as far apart as in it, give or take ``slop`` words."""
     folder = shared_folder(docs.sparkSession)
     numbered = with_row_id(docs.select("doc_id", "text"))
-    windows = phrases(items, length).where(F.size("words") > 1)
-    index = written(postings(numbered, windows.select(F.explode("words").alias("term")).distinct()), "postings", folder)
-    counts = index.groupBy("term").agg(F.count("*").alias("n"))
+    windows = written(phrases(items, length).where(F.size("words") > 1), "phrases", folder)
+    counts = counts_of(numbered, windows.select(F.explode("words").alias("term")).distinct())
     terms = windows.select("words", F.posexplode("words").alias("k", "term")).join(counts, "term")
     rare = terms.groupBy("words").agg(F.array_sort(F.collect_list(F.struct("n", "k", "term"))).alias("r")).where(F.size("r") > 1)
-    rare = rare.select("words", F.col("r")[0].alias("x"), F.col("r")[1].alias("y"))
+    rare = written(rare.select("words", F.col("r")[0].alias("x"), F.col("r")[1].alias("y")), "rare", folder)
+    index = written(postings(numbered, rare.select(F.explode(F.array("x.term", "y.term")).alias("term")).distinct()), "postings", folder)
     shifted = lambda end: index.join(rare.select("words", f"{end}.term", F.col(f"{end}.k").alias("k")), "term").select("rid", "words", (F.col("pos") - F.col("k")).alias(f"at_{end}"))
     x = shifted("x").withColumn("cell", F.explode(F.array(*(F.floor(F.col("at_x") / (slop + 1)) + d for d in (-1, 0, 1)))))
     y = shifted("y").withColumn("cell", F.floor(F.col("at_y") / (slop + 1)))
