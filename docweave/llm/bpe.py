@@ -14,11 +14,14 @@ import json
 import unicodedata
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from docweave.llm.common import sha256_hex, small_batches
+from docweave.llm.rolling import text_buffers
 
 
 def byte_alphabet() -> list[str]:
@@ -171,7 +174,7 @@ class _Known(dict):
 class WordBpe:
     """A word-end BPE vocabulary file: splitting, automaton and the texts of its arcs."""
 
-    def __init__(self, path: str, most_cached: int = 250_000):
+    def __init__(self, path: str, most_cached: int = 400_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -203,28 +206,55 @@ class WordBpe:
         found = [self.words[w] for w in self.pattern.findall(token)]
         return " ".join([x[0] for x in found]), " ".join([x[1] for x in found]), sum([x[2] for x in found])
 
-    def _segment(self, text: str) -> list[tuple[str, str, int]]:
-        text = text.lower() if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+    def _spaced(self, text: str) -> str:
+        """The normalised text with one space, and no other white space, between its runs."""
+        if text.isascii():
+            text = text.lower()
+            if not _SEPARATORS.search(text):
+                return text.strip()  # the rest is left to the splitting of the batch
+        else:
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         # no word crosses white space; str.split also cuts at the four separators, which are no white space to the pattern
-        runs = text.split() if not _SEPARATORS.search(text) else regex.split(r"[^\S\x1c-\x1f]+", text)
-        return list(map(self.known.__getitem__, filter(None, runs)))
+        runs = text.split() if not _SEPARATORS.search(text) else filter(None, regex.split(r"[^\S\x1c-\x1f]+", text))
+        return " ".join(runs)
 
     def encode(self, text: str) -> tuple[str, str, int]:
         """Ids joined by spaces, decoded text, and the number of tokens of a whole text."""
-        if self.cut is None or "<" not in text:
-            pieces = self._segment(text)
-        else:
-            pieces = []
-            for part in self.cut.split(text):
-                if part in self.special:
-                    pieces.append((str(self.special[part]), part, 1))
-                elif part:
-                    pieces += self._segment(part)
+        pieces = []
+        for part in self.cut.split(text) if self.cut is not None and "<" in text else [text]:
+            if part in self.special:
+                pieces.append((str(self.special[part]), part, 1))
+            elif part:
+                pieces += map(self.known.__getitem__, filter(None, regex.split(r"[ \t\n\r\f\v]+", self._spaced(part))))
+        pieces = [x for x in pieces if x[2]]
         if not pieces:
             return "", "", 0
         ids, labels, counts = zip(*pieces, strict=True)
         return " ".join(ids), " ".join(labels), sum(counts)
 
+    def encode_all(self, texts: list[str]) -> tuple[pa.Array, pa.Array, np.ndarray]:
+        """Ids, decoded texts and numbers of tokens of many texts: each different run is encoded once, and the texts are put together from the runs' numbers."""
+        whole = {i: self.encode(t) for i, t in enumerate(texts) if self.cut is not None and "<" in t and self.cut.search(t)}
+        lists = pc.ascii_split_whitespace(pa.array(["" if i in whole else self._spaced(t) for i, t in enumerate(texts)], pa.large_string()))
+        runs = lists.flatten().dictionary_encode()
+        names, known = runs.dictionary.to_pylist(), self.known
+        spelled = list(zip(*[known[t] if t else ("", "", 0) for t in names], strict=True)) or [(), (), ()]
+        place, offsets = runs.indices, lists.offsets
+        counts = np.array(spelled[2], np.int64)
+        if any(names[i] for i in np.flatnonzero(counts == 0)):  # a run without a token would leave two spaces
+            spelled = zip(*map(self.encode, texts), strict=True)
+            return tuple(f(x) for f, x in zip((*[lambda x: pa.array(x, pa.large_string())] * 2, np.array), spelled, strict=True))
+        text_of = lambda j: pc.binary_join(type(lists).from_arrays(offsets, pa.array(spelled[j], pa.large_string()).take(place)), pa.scalar(" ", pa.large_string()))
+        ends = np.concatenate([[0], np.cumsum(counts[np.asarray(place)])])
+        borders = np.asarray(offsets)
+        ids, labels, numbers = text_of(0), text_of(1), ends[borders[1:]] - ends[borders[:-1]]
+        if whole:
+            rows = [list(x) for x in (ids.to_pylist(), labels.to_pylist())]
+            for i, (a, b, n) in whole.items():
+                rows[0][i], rows[1][i], numbers[i] = a, b, n
+            ids, labels = (pa.array(x, pa.large_string()) for x in rows)
+        return ids, labels, numbers
+
 
 _loaded: dict[str, WordBpe] = {}
 
@@ -236,31 +266,30 @@ def tokenizer(path: str) -> WordBpe:
     return _loaded[path]
 
 
+def _digests(column: pa.Array) -> list[str]:
+    data, offsets = text_buffers(column)
+    return [sha256_hex(data[a:z]) for a, z in zip(offsets[:-1], offsets[1:], strict=True)]
+
+
 def encode_documents(docs: DataFrame, vocabulary: str, keep_text: bool = True) -> DataFrame:
     """Token ids and decoded text (or their digests) of each row of ``docs``.
 
     Returns doc_id, n_tokens, ids_sha256 and decoded_sha256, and with ``keep_text`` also ids
     (decimal, joined by spaces) and decoded.  Each row is on its own: no shuffle, repeated rows give repeated results, a
-    null text is an empty one (no tokens), texts of any length are handled whole, and further
-    columns of ``docs`` are not read.  ``vocabulary`` is a path that each worker can read.
+    null text is an empty one (no tokens), texts of any length are handled whole, an empty table
+    gives an empty result, and further columns of ``docs`` are not read.  No two merges tie: each
+    pair of parts has one rank, and of equal pairs in a word the first is joined first.  ``vocabulary`` is a path that each worker can read.
     """
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids string, decoded string" if keep_text else "")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(vocabulary)
-        for batch in small_batches(batches):
-            rows: list[list] = [[] for _ in range(6)]
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                ids, decoded, n = bpe.encode(text or "")
-                values = (doc_id, n, sha256_hex(ids.encode()), sha256_hex(decoded.encode()))
-                if keep_text:
-                    values += (ids, decoded)
-                for column, value in zip(rows, values, strict=False):
-                    column.append(value)
-            arrays = [pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.string()), pa.array(rows[3], pa.string())]
+        for batch in small_batches(batches, most=1 << 22):
+            ids, decoded, n = bpe.encode_all([t or "" for t in batch.column("text").to_pylist()])
+            arrays = [batch.column("doc_id").cast(pa.int64()), pa.array(n, pa.int64()), pa.array(_digests(ids), pa.string()), pa.array(_digests(decoded), pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_text:
-                arrays += [pa.array(rows[4], pa.string()), pa.array(rows[5], pa.string())]
+                arrays += [ids.cast(pa.string()), decoded.cast(pa.string())]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
