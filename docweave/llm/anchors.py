@@ -93,7 +93,7 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
     docs = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = written(docs.select("rid", "text").mapInArrow(lambda it: _contexts(it, units), _CONTEXTS), "contexts", folder)
     anchors = found.groupBy("h").agg(F.count("*").alias("times"), F.min("ctx").alias("lo"), F.max("ctx").alias("hi")).where("times > 1").select("h", (F.col("lo") != F.col("hi")).alias("mixed"), (F.col("times") > hot).alias("many"))
-    repeated = written(found.join(anchors, "h"), "repeated", folder)
+    repeated = written(found.join(anchors, "h"), "repeated", folder, found.count(), 1 << 18)
 
     mixed = repeated.where("mixed").groupBy("h", "ctx", "many").agg(F.count("*").alias("n"), F.min(F.struct("rid", "start", "windows")).alias("at"))
 
@@ -105,7 +105,7 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
     contents = wanted("NOT many").mapInArrow(lambda it: _contents(it, units), _CONTENTS)
     blocks = contents.repartition("h").sortWithinPartitions("h")
     verdicts = blocks.mapInArrow(lambda it: _verdicts(it, index, block_bytes), _REPEATS)
-    counted = written(wanted("many").mapInArrow(lambda it: _windows(it, units), _WINDOWS), "windows", folder)
+    counted = written(wanted("many").mapInArrow(lambda it: _windows(it, units), _WINDOWS), "windows", folder, repeated.count(), 1 << 18)
     again = counted.groupBy("h", "a", "b").agg(F.sum("n").alias("times")).where("times > 1").select("h", "a", "b")
     verdicts = verdicts.unionByName(counted.join(again, ["h", "a", "b"]).select("h", "ctx", "first", F.col("first").alias("last")))
 

@@ -44,9 +44,16 @@ def drop_scratch(spark: SparkSession, mark: int) -> None:
     del _folders[mark:]
 
 
-def written(df: DataFrame, name: str, folder: str) -> DataFrame:
-    """Cuts lineage: the rows are written to the shared folder and read back."""
+def written(df: DataFrame, name: str, folder: str, rows: int | None = None, per_file: int = 1 << 13) -> DataFrame:
+    """Cuts lineage: the rows are written to the shared folder and read back.
+
+    ``rows``, if known, keeps small tables from being spread over many small files: there are
+    as many tasks as cores, or one for each ``per_file`` of ``rows``, where that is fewer than
+    the plan has.
+    """
     path = f"{folder}/{name}"
+    if rows is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-rows // per_file)))
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -38,14 +38,15 @@ def dedup_line_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 250) -
     key = F.struct(F.xxhash64("l.line").alias("a"), F.xxhash64(F.lit("line"), "l.line").alias("b"))
     long = (F.length("l.line") >= min_chars).alias("long")
     suffixes = written(lines.select("rid", "doc_id", "i", F.col("l.pos").alias("pos"), long, key.alias("key")), "lines", folder)
-    active, length = _ranked(suffixes, folder, 1), 1
+    n = suffixes.count()
+    active, length = _ranked(suffixes, folder, 1, n), 1
     alone = active.where("long AND NOT first").select("rid", "i")
     while length < min_lines:
         step = min(length, min_lines - length)
         ahead = active.select("rid", (F.col("i") - step).alias("i"), F.col("rank").alias("then"))
         pairs = active.withColumnRenamed("rank", "own").join(ahead, ["rid", "i"])
         length += step
-        active = _ranked(pairs.select("rid", "doc_id", "i", "pos", "long", F.struct("own", "then").alias("key")), folder, length)
+        active = _ranked(pairs.select("rid", "doc_id", "i", "pos", "long", F.struct("own", "then").alias("key")), folder, length, n)
     later = active.where("NOT first").select("rid", F.explode(F.sequence("i", F.col("i") + (min_lines - 1))).alias("i"))
     later = later.unionByName(alone).distinct()
     gone = later.join(suffixes.select("rid", "i", "pos"), ["rid", "i"]).groupBy(F.col("rid").alias(rid)).agg(F.array_sort(F.collect_list("pos")).alias(cut))
@@ -56,14 +57,14 @@ def dedup_line_runs(docs: DataFrame, min_lines: int = 2, min_chars: int = 250) -
     return out.select(*(text if c == "text" else F.col(f"`{c}`") for c in own), n_lines, n_gone)
 
 
-def _ranked(suffixes: DataFrame, folder: str, length: int) -> DataFrame:
+def _ranked(suffixes: DataFrame, folder: str, length: int, rows: int) -> DataFrame:
     """Ranks suffixes by key; those with a key of their own go.  ``first`` marks each interval's first place."""
     place = F.struct("doc_id", "rid", "i")
     intervals = suffixes.groupBy("key").agg(F.count("*").alias("times"), F.min(place).alias("head")).where("times > 1")
     ranks = intervals.sort("key").select("key", "head", F.monotonically_increasing_id().alias("rank"))
-    ranks = written(ranks, f"ranks{length}", folder)
+    ranks = written(ranks, f"ranks{length}", folder, rows, 1 << 18)
     found = suffixes.join(ranks, "key").select("rid", "doc_id", "i", "pos", "long", "rank", (place == F.col("head")).alias("first"))
-    return written(found, f"suffixes{length}", folder)
+    return written(found, f"suffixes{length}", folder, rows, 1 << 18)
 
 
 def _without(items: Column, gone: Column) -> Column:

@@ -182,37 +182,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
     folder = shared_folder(docs.sparkSession)
     docs = with_row_id(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     sketched = written(docs.mapInArrow(lambda it: sketch(it, shingle, bands * rows), "doc_id long, rid long, a long, b long, n long, registers binary"), "sketches", folder)
+    n = sketched.count()
     texts = sketched.groupBy("a", "b", "n").agg(F.min(F.struct("doc_id", "rid")).alias("node"))
-    members = written(sketched.select("doc_id", "rid", "a", "b", "n").join(texts, ["a", "b", "n"]).select("doc_id", "rid", "node"), "members", folder)
-    own = written(sketched.join(members.where("rid = node.rid").select("rid", "node"), "rid").select("node", "n", "registers"), "texts", folder)
+    members = written(sketched.select("doc_id", "rid", "a", "b", "n").join(texts, ["a", "b", "n"]).select("doc_id", "rid", "node"), "members", folder, n)
+    own = written(sketched.join(members.where("rid = node.rid").select("rid", "node"), "rid").select("node", "n", "registers"), "texts", folder, n)
     band = F.expr(f"transform(sequence(0, {bands - 1}), i -> xxhash64(i, substring(registers, i * {2 * rows} + 1, {2 * rows})))")
     placed = own.select("node", "n", F.explode(band).alias("band"))
     sizes = placed.groupBy("band").agg(F.count("*").alias("times")).where("times > 1")
-    buckets = written(placed.join(sizes, "band"), "buckets", folder)
+    buckets = written(placed.join(sizes, "band"), "buckets", folder, n)
     # the text with most mates in all buckets is nearest to what a family of copies was made from
     mates = buckets.groupBy("node").agg(F.sum("times").alias("mates"))
     heads = buckets.select("node", "n", "band").join(mates, "node").groupBy("band").agg(F.max(F.struct("mates", "node", "n")).alias("head"))
-    buckets = written(buckets.select("node", "n", "band").join(heads, "band"), "headed", folder)
+    buckets = written(buckets.select("node", "n", "band").join(heads, "band"), "headed", folder, n)
     met = buckets.where((F.col("node") != F.col("head.node")) & (F.least("n", "head.n") >= similarity * F.greatest("n", "head.n")))
     met = met.groupBy(F.col("node").alias("x"), F.col("head.node").alias("y")).agg(F.count("*").alias("shared"), F.max("head.mates").alias("mates"))
-    met = written(met, "met", folder)
+    met = written(met, "met", folder, n)
     first = met.groupBy("x").agg(F.max(F.struct("shared", "mates", "y")).alias("best")).select("x", "best.y")
-    links = written(_verified(docs, first, shingle, similarity), "links", folder)
-    classes = components(links, f"{folder}/first")
+    links = written(_verified(docs, first, shingle, similarity), "links", folder, n)
+    classes = components(links, f"{folder}/first", n)
     # the other heads, as far as they are in other classes and the registers allow the similarity
     rest = met.join(first.withColumnRenamed("y", "tried"), "x").where("y != tried").select("x", "y")
     rest = _apart(rest, classes)
     rest = _likely(rest, own, similarity, bands * rows)
-    links = written(links.unionByName(_verified(docs, rest, shingle, similarity)), "more_links", folder)
-    classes = components(links, f"{folder}/second")
+    links = written(links.unionByName(_verified(docs, rest, shingle, similarity)), "more_links", folder, n)
+    classes = components(links, f"{folder}/second", n)
     at = buckets.select("node", "band", F.col("head.node").alias("y")).join(classes, "node", "left").select("node", "band", "y", F.coalesce("least", "node").alias("class"))
-    at = written(at, "classed", folder)
+    at = written(at, "classed", folder, n)
     mixed = at.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi").select("band")
-    joined = written(at.join(mixed, "band", "left_semi").select(F.col("node").alias("x"), "y", "class"), "mixed", folder)
-    groups = components(joined.where("x != y").select("x", "y").distinct(), f"{folder}/groups")
+    joined = written(at.join(mixed, "band", "left_semi").select(F.col("node").alias("x"), "y", "class"), "mixed", folder, n)
+    groups = components(joined.where("x != y").select("x", "y").distinct(), f"{folder}/groups", n)
     found = _in_blocks(docs, own, joined, groups, shingle, similarity, block_texts, bands * rows)
-    links = written(links.unionByName(found), "all_links", folder)
-    labels = components(links, f"{folder}/last")
+    links = written(links.unionByName(found), "all_links", folder, n)
+    labels = components(links, f"{folder}/last", n)
     classed = members.join(labels, "node", "left").select("rid", F.coalesce("least", "node").alias("first"))
     out = docs.select("doc_id", "rid").join(classed, "rid", "left")
     alone = F.col("first").isNull()
@@ -339,15 +340,16 @@ def _verified(docs: DataFrame, pairs: DataFrame, shingle: int, similarity: float
     return both.select("x", "y", "text", "other").mapInArrow(run, f"x {_NODE}, y {_NODE}")
 
 
-def components(links: DataFrame, folder: str) -> DataFrame:
+def components(links: DataFrame, folder: str, rows: int | None = None) -> DataFrame:
     """node, least: the least node that links (x, y) connect each node to.
 
     Each round passes the label of every node's label to its neighbours and to the nodes that
     these have as labels, so trees are hooked at their roots and halved at the same time.
     """
     edges = links.unionByName(links.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
-    edges = written(edges, "edges", folder)
-    labels = written(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("least")), "labels0", folder)
+    edges = written(edges, "edges", folder, rows)
+    n = edges.count()
+    labels = written(edges.groupBy(F.col("x").alias("node")).agg(F.least(F.min("y"), F.first("x")).alias("least")), "labels0", folder, n, 1 << 16)
     turn = 0
     while True:
         turn += 1
@@ -356,7 +358,7 @@ def components(links: DataFrame, folder: str) -> DataFrame:
         known = far.join(passed.withColumnRenamed("x", "node"), "node").select("node", "least", F.least("far", "new").alias("new"))
         hooked = known.select(F.explode(F.array(F.struct("node", "new"), F.struct(F.col("least").alias("node"), F.col("new")))).alias("s")).select("s.*")
         new = labels.withColumnRenamed("least", "old").join(hooked.groupBy("node").agg(F.min("new").alias("least")), "node")
-        new = written(new, f"labels{turn}", folder)
+        new = written(new, f"labels{turn}", folder, n, 1 << 16)
         labels = new.select("node", "least")
         if new.where("old != least").isEmpty():
             return labels

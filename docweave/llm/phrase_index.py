@@ -74,8 +74,9 @@ def find_phrases(docs: DataFrame, items: DataFrame, length: int = 10) -> DataFra
     docs = with_row_id(docs, rid)
     numbered = docs.select(F.col(rid).alias("rid"), "text")
     windows = written(phrases(items, length), "phrases", folder)
+    n = windows.count()
     terms = windows.select(F.explode("words").alias("term")).distinct()
-    sought = written(anchors(windows, counts_of(numbered, terms)), "anchors", folder)
+    sought = written(anchors(windows, counts_of(numbered, terms)), "anchors", folder, n)
     index = written(postings(numbered, sought.select("term").distinct()), "postings", folder)
     # items of one word have no term behind theirs
     alone = F.size("words") == 1

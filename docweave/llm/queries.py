@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # Python workers import this package from where the driver has it, if nothing else says where
     spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # texts may be long: smaller batches bound what a task holds outside the heap and in its Python worker
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
