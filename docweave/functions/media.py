@@ -23,21 +23,24 @@ NOT_IMAGES = [".bw", ".ftu", ".iim", ".im", ".msp"]
 NOT_TO_PDF = [".602", ".bib", ".cwk", ".fopd", ".hwp", ".key", ".met", ".mw", ".odd", ".pwp"]
 
 
-def types_of(extension: str) -> list[str]:
-    """Sorted media types of an extension; an unknown one raises."""
+def types_of(extension: str, files: tuple[str, ...] = ()) -> list[str]:
+    """Sorted media types of an extension; an unknown one raises.
+
+    ``files`` are tables in the usual form of mime.types files, for extensions that the standard library lacks.
+    """
     name = ALIASES.get(extension, extension)
-    known = mimetypes.MimeTypes(filenames=()).types_map
+    known = mimetypes.MimeTypes(filenames=files).types_map
     found = ({known[True][name]} if name in known[True] else set()) | set(MORE.get(name, []))
     if not found:
-        raise ValueError(f"unsupported mimetype {extension}")
+        raise ValueError(f"no media type is known for the extension {extension}")
     return sorted(found)
 
 
-def table(spark: SparkSession) -> DataFrame:
-    """extension, content_type; a dimension of fixed size."""
-    known = mimetypes.MimeTypes(filenames=()).types_map
+def table(spark: SparkSession, files: tuple[str, ...] = ()) -> DataFrame:
+    """extension, content_type; a dimension of the size of the tables it is made from."""
+    known = mimetypes.MimeTypes(filenames=files).types_map
     names = sorted(set(known[True]) | set(ALIASES) | set(MORE))
-    return spark.createDataFrame([(e, m) for e in names for m in types_of(e)], "extension string, content_type string")
+    return spark.createDataFrame([(e, m) for e in names for m in types_of(e, files)], "extension string, content_type string")
 
 
 def categories(images: list[str], documents: list[str]) -> dict[str, list[str]]:
@@ -58,3 +61,11 @@ def with_category(df: DataFrame, images: list[str], documents: list[str]) -> Dat
     rank = F.when(F.col("category") == "pdf", 0).when(F.col("category") == "image", 1).otherwise(2)
     ways = ways.groupBy("content_type").agg(F.min_by("category", rank).alias("category"))
     return df.join(F.broadcast(ways), "content_type")
+
+
+def unsupported(df: DataFrame, images: list[str], documents: list[str]) -> DataFrame:
+    """An error row for each file that no category takes: the file's columns, and error (title and detail)."""
+    ways = category_table(df.sparkSession, images, documents).select("content_type").distinct()
+    left = df.join(F.broadcast(ways), "content_type", "left_anti")
+    detail = F.concat(F.lit("files of type "), F.coalesce("content_type", F.lit("unknown")), F.lit(" can't be read"))
+    return left.select(*df.columns, F.struct(F.lit("UnsupportedFile").alias("title"), detail.alias("detail")).alias("error"))

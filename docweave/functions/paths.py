@@ -11,7 +11,7 @@ FILESYSTEM, ARTIFACTS, WORKDIR = "filesystem", "artifacts", "workdir"
 
 def safe_dir(doc_id: Column) -> Column:
     """``ab/cd`` of an id of at least four characters; shorter ids raise."""
-    message = F.concat(F.lit("expected doc_id to be at least 4, found "), doc_id)
+    message = F.concat(F.lit("ids need four characters or more for their folder: "), doc_id)
     return F.when(F.length(doc_id) < 4, F.raise_error(message).cast("string")).otherwise(F.concat_ws("/", F.substring(doc_id, 1, 2), F.substring(doc_id, 3, 2)))
 
 
@@ -50,7 +50,7 @@ def locate(location: Column, doc_id: Column, project: Column, path: Column, file
         F.when(location == FILESYSTEM, F.concat_ws("/", F.lit(filesystem), path))
         .when(location == ARTIFACTS, F.concat_ws("/", F.lit(artifacts), artifacts_dir(doc_id, project), F.lit("raw")))
         .when(location == WORKDIR, F.concat_ws("/", F.lit(workdir), path))
-        .otherwise(F.raise_error(F.concat(F.lit("invalid location: "), location)).cast("string"))
+        .otherwise(F.raise_error(F.concat(F.lit("files lie in no such place: "), location)).cast("string"))
     )
 
 
@@ -89,7 +89,7 @@ def published_path(location: Column, doc_id: Column, project: Column, path: Colu
     inner = F.filter(F.split(path, "/"), lambda p: p != "")
     inner = F.array_join(F.slice(inner, 2, F.greatest(F.size(inner) - 2, F.lit(0))), "/")
     name = resource_name if by_name else F.concat(doc_id, suffix(resource_name))
-    return F.when(location == FILESYSTEM, path).when(location == ARTIFACTS, F.concat_ws("/", project, F.lit("symlinks"), inner, name)).otherwise(F.raise_error(F.concat(F.lit("unsupported location "), location)).cast("string"))
+    return F.when(location == FILESYSTEM, path).when(location == ARTIFACTS, F.concat_ws("/", project, F.lit("symlinks"), inner, name)).otherwise(F.raise_error(F.concat(F.lit("files can't be published from "), location)).cast("string"))
 
 
 def byte_ranges_valid(ranges: Column, total: Column) -> Column:

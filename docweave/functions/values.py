@@ -64,9 +64,9 @@ def progress_fraction(current: Column, most: Column) -> Column:
 
 def progress_scaled(progress: Column, start: float = 0.0, end: float = 1.0) -> Column:
     if not 0 <= start < end:
-        raise ValueError("start must be [0, end[")
+        raise ValueError(f"a progress scale starts at 0 or later and before its end, not at {start} of {end}")
     if not start < end <= 1.0:
-        raise ValueError("end must be ]start, 1.0]")
+        raise ValueError(f"a progress scale ends at 1 at the latest, not at {end}")
     return F.lit(start) + progress * (end - start)
 
 

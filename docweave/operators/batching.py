@@ -144,6 +144,11 @@ def by_count(df: DataFrame, size: int, streams: list[str], order: str) -> DataFr
     return row_numbers(df, streams, order).withColumn("batch_id", F.floor((F.col("rn") - 1) / size)).drop("rn")
 
 
+def micro_batches(sentences: DataFrame, size: int, batch: str = "batch_id", order: str = "seq") -> DataFrame:
+    """Chunks of ``size`` sentences of each batch, which cross its documents but never the batch's end; adds micro_batch."""
+    return row_numbers(sentences, [batch], order).withColumn("micro_batch", F.floor((F.col("rn") - 1) / size)).drop("rn")
+
+
 def group_batches(df: DataFrame, per_task: int, batch: str = "batch_id") -> DataFrame:
     """Batches of one activity; adds task_id."""
     return df.withColumn("task_id", F.floor(F.col(batch) / per_task))

@@ -10,6 +10,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docweave.operators import batching
+
 Query = dict[str, Any]
 
 
@@ -59,7 +61,7 @@ def docs_query(docs: None | list[str] | Query, types: list[str]) -> Query:
         return and_query(base, docs)
     if isinstance(docs, list):
         return and_query(base, has_id(docs))
-    raise ValueError(f"unsupported format {docs.__class__.__name__}")
+    raise ValueError(f"no query is known for the format {docs.__class__.__name__}")
 
 
 def untranslated(language: str) -> Query:
@@ -92,6 +94,12 @@ def translation_query(docs: None | list[str] | Query, language: str) -> Query:
     return docs or match_all()
 
 
+def ordered_scan(df: DataFrame, query: Query, groups: list[str], order: str = "doc_id") -> DataFrame:
+    """Documents that a query finds, sorted by ``groups`` and ``order``, with each one's place (from 1) in its group as scan_pos."""
+    found = batching.row_numbers(search(df, query), groups, order).withColumnRenamed("rn", "scan_pos")
+    return found.sort(*groups, order)
+
+
 def compile_query(query: Query, df: DataFrame, id_field: str = "id") -> Column:
     """A column for match_all, ids, term, terms, prefix, exists and bool; anything else is refused."""
     query = _clause(query)
@@ -116,15 +124,13 @@ def compile_query(query: Query, df: DataFrame, id_field: str = "id") -> Column:
         return None, value
 
     def match(name: str, test) -> Column:
-        try:
-            array, value = field(name)
-            if array is not None:
-                inner = [f.name for f in df.schema[names[name.split(".")[0].lower().replace("_", "")].name].dataType.elementType.fields] if "." in name.removesuffix(".keyword") else None
-                if inner is not None and name.removesuffix(".keyword").split(".")[1] not in inner:
-                    return F.lit(False)
-                return F.coalesce(F.exists(array, lambda x: F.coalesce(test(value(x)), F.lit(False))), F.lit(False))
-        except AttributeError:
-            return F.lit(False)
+        array, value = field(name)
+        if array is not None:
+            rest = name.removesuffix(".keyword").split(".")[1:]
+            kind = df.schema[names[name.split(".")[0].lower().replace("_", "")].name].dataType.elementType
+            if rest and (kind.typeName() != "struct" or rest[0] not in kind.names):
+                return F.lit(False)  # an array whose elements have no such field
+            return F.coalesce(F.exists(array, lambda x: F.coalesce(test(value(x)), F.lit(False))), F.lit(False))
         return F.lit(False) if value is None else F.coalesce(test(value), F.lit(False))
 
     if kind == "match_all":

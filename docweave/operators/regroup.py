@@ -45,3 +45,28 @@ def pages_of_documents(pages: DataFrame, detections: str = "detections", failed:
 def models_by_language(models: DataFrame) -> DataFrame:
     """(model, languages) turned round: language and its sorted models."""
     return models.select("model", F.explode("languages").alias("language")).groupBy("language").agg(F.sort_array(F.collect_list("model")).alias("models"))
+
+
+def zip_results(inputs: DataFrame, results: DataFrame, keys: list[str]) -> DataFrame:
+    """Results beside their inputs by place (batch and position); a place that only one side has, or has twice, fails the query."""
+    def once(df: DataFrame, mark: str) -> DataFrame:
+        rest = [c for c in df.columns if c not in keys]
+        one = df.groupBy(*keys).agg(F.count("*").alias("__n"), F.first(F.struct(*rest)).alias(mark))
+        return one.withColumn(mark, F.when(F.col("__n") == 1, F.col(mark)).otherwise(_refused(df.schema, rest, "several rows for one place", keys))).drop("__n")
+
+    def _refused(schema, rest, message, keys):
+        kind = "struct<" + ",".join(f"`{c}`:{schema[c].dataType.simpleString()}" for c in rest) + ">"
+        return F.raise_error(F.concat_ws(" ", F.lit(message), *(F.col(k).cast("string") for k in keys))).cast(kind)
+
+    both = once(inputs, "__i").join(once(results, "__r"), keys, "full")
+    for mark, df in (("__i", inputs), ("__r", results)):
+        rest = [c for c in df.columns if c not in keys]
+        both = both.withColumn(mark, F.when(F.col(mark).isNotNull(), F.col(mark)).otherwise(_refused(df.schema, rest, "one side has no row for place", keys)))
+    return both.select(*keys, "__i.*", "__r.*")
+
+
+def require_keys(df: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """Joins ``known`` by a key that every row must find; a missing one fails the query."""
+    found = df.join(known.withColumn("__found", F.lit(True)), key, "left")
+    missing = F.raise_error(F.concat(F.lit("nothing is known of "), F.col(key).cast("string"))).cast("boolean")
+    return found.where(F.when(F.col("__found"), F.lit(True)).otherwise(missing)).drop("__found")

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.functions import values
 
 
-def _merged(docs: DataFrame, updates: DataFrame, column: str, new: Column, marker: str, key: str) -> DataFrame:
-    joined = docs.join(updates, key, "left")
-    return joined.withColumn(column, F.when(F.col(marker).isNotNull(), new).otherwise(F.col(column))).select(*docs.columns)
+def _merged(docs: DataFrame, updates: DataFrame, column: str, step, fields: list[str], key: str, order: str | None) -> DataFrame:
+    """Applies the updates of each document one after the other, by ``order`` (by their values where none is given).
+
+    ``step`` makes the column's new value from the old one and an update.
+    """
+    first = [F.col(order).alias("__order")] if order else []
+    held = updates.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(*first, *fields))).alias("__updates"))
+    new = F.aggregate("__updates", F.col(column), step)
+    joined = docs.join(held, key, "left")
+    return joined.withColumn(column, F.when(F.col("__updates").isNotNull(), new).otherwise(F.col(column))).select(*docs.columns)
 
 
 def last_updates(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -21,28 +28,28 @@ def last_updates(updates: DataFrame, keys: list[str], order: str) -> DataFrame:
     return best.select(*keys, "__u.*")
 
 
-def upsert_translations(docs: DataFrame, translations: DataFrame, key: str = "id") -> DataFrame:
-    """translations: (id, translation), one for each id; first element of the language pair is replaced, else append."""
-    return _merged(docs, translations, "content_translated", values.upsert(F.col("content_translated"), F.col("translation")), "translation", key)
+def upsert_translations(docs: DataFrame, translations: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """translations: (id, translation); the first element of the language pair is replaced, else append."""
+    return _merged(docs, translations, "content_translated", lambda old, u: values.upsert(old, u["translation"]), ["translation"], key, order)
 
 
-def append_translations(docs: DataFrame, translations: DataFrame, key: str = "id") -> DataFrame:
-    return _merged(docs, translations, "content_translated", values.append(F.col("content_translated"), F.col("translation")), "translation", key)
+def append_translations(docs: DataFrame, translations: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    return _merged(docs, translations, "content_translated", lambda old, u: values.append(old, u["translation"]), ["translation"], key, order)
 
 
-def put_translation_map(docs: DataFrame, translations: DataFrame, key: str = "id") -> DataFrame:
+def put_translation_map(docs: DataFrame, translations: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
     """translations: (id, language, content) for the older layout with a map of language to text."""
-    return _merged(docs, translations.withColumnsRenamed({"language": "__l", "content": "__c"}), "content_translated", values.map_put(F.col("content_translated"), F.col("__l"), F.col("__c")), "__l", key)
+    return _merged(docs, translations, "content_translated", lambda old, u: values.map_put(old, u["language"], u["content"]), ["language", "content"], key, order)
 
 
-def add_tags(docs: DataFrame, tags: DataFrame, key: str = "id") -> DataFrame:
+def add_tags(docs: DataFrame, tags: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
     """tags: (id, tag)."""
-    return _merged(docs, tags.withColumnRenamed("tag", "__tag"), "tags", values.set_add(F.col("tags"), F.col("__tag")), "__tag", key)
+    return _merged(docs, tags, "tags", lambda old, u: values.set_add(old, u["tag"]), ["tag"], key, order)
 
 
-def update_content(docs: DataFrame, contents: DataFrame, key: str = "id") -> DataFrame:
-    """contents: (id, content)."""
-    return _merged(docs, contents.withColumnRenamed("content", "__content"), "content", F.col("__content"), "__content", key)
+def update_content(docs: DataFrame, contents: DataFrame, key: str = "id", order: str | None = None) -> DataFrame:
+    """contents: (id, content); of several the last counts."""
+    return _merged(docs, contents, "content", lambda old, u: u["content"], ["content"], key, order)
 
 
 def merge_manifests(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = ("project", "doc_id")) -> DataFrame:

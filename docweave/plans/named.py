@@ -5,14 +5,18 @@ Arrays and structs are flattened to scalars or text, so that rows compare.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docweave.functions import languages, media, paths, values
+from docweave.functions import forms, languages, media, paths, values
 from docweave.operators import batching, predicates, regroup, reports, search, upsert
-from docweave.plans import fixtures, pipelines, plugins
+from docweave.plans import fixtures, pipelines, plugins, preprocessing
+from docweave.sources import files
 from docweave.streaming import progress
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -455,14 +459,16 @@ def transcribe_nothing(spark, sf_dir):
     return pipelines.transcribe(audio, docs)[0].select("id", "content")
 
 
-@_query()
+@_query(_with(D + """, a AS (SELECT id, content, CASE WHEN content LIKE '%' || chr(10) THEN left(content, -1) ELSE content END AS c FROM docs WHERE content_type = 'audio/wav' AND content IS NOT NULL),
+n AS (SELECT id, c, CASE WHEN content = '' THEN 0 ELSE len(string_split(c, chr(10))) END AS n FROM a)""", "SELECT id, length(c)::INTEGER AS length, n::INTEGER AS n_segments, round(exp(-0.1 * n), 9) AS confidence FROM n"))
 def transcribe_pipeline(spark, sf_dir):
     d = fixtures.documents(spark, sf_dir).where(F.col("contentType") == "audio/wav")
     docs, artifacts = pipelines.transcribe(d.select("id", F.col("content").cast("binary").alias("content")), d)
-    return docs.select("id", F.length("content").alias("length")).join(artifacts.select("id", F.size("segments").alias("n_segments"), "confidence"), "id")
+    return docs.select("id", F.length("content").alias("length")).join(artifacts.select("id", F.size("segments").alias("n_segments"), F.round("confidence", 9).alias("confidence")), "id")
 
 
-@_query()
+@_query("""SELECT page_id::VARCHAR AS id, 'SUCCESS' AS status, length(trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')))::INTEGER AS length, 1::INTEGER AS total, true AS valid
+FROM pages WHERE trim(html) <> ''""")
 def mapinpandas_extract(spark, sf_dir):
     p = fixtures.table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("id"), "html", F.lit(1).alias("n_pages"))
     good, _, _ = pipelines.extract(p)
@@ -481,6 +487,165 @@ def detection_report(spark, sf_dir):
     return pipelines.detect(files, fixtures.IMAGES, fixtures.OFFICE)[2]
 
 
+# -- preprocessing and forms ---------------------------------------------------------------------
+
+
+def _raw_files(spark, sf_dir):
+    return fixtures.documents(spark, sf_dir).select("id", F.col("contentType").alias("content_type"), F.col("content").cast("binary").alias("content"))
+
+
+@_query(_with(D, "SELECT id, 'UnsupportedFile' AS title, 'files of type audio/wav can''t be read' AS detail FROM docs WHERE content_type = 'audio/wav'"))
+def unsupported_raw_files(spark, sf_dir):
+    found = media.unsupported(_raw_files(spark, sf_dir), fixtures.IMAGES, fixtures.OFFICE)
+    return found.select("id", "error.title", "error.detail")
+
+
+#: Which stand-in reads a content type: pictures and PDFs are one page here, as they hold neither NUL bytes nor form feeds.
+_PRINTED = "content_type LIKE '%wordprocessing%' OR content_type = 'text/html'"
+
+
+@_query(_with(D + f""", f AS (SELECT id, content, {_PRINTED} AS printed FROM docs WHERE content_type <> 'audio/wav' AND content IS NOT NULL AND NOT (({_PRINTED}) AND content = '')),
+p AS (SELECT id, content, printed, unnest(generate_series(1, CASE WHEN printed THEN 1 + (length(content) - 1) // 1000 ELSE 1 END)) AS k FROM f)""", "SELECT id, k::INTEGER AS page_number, octet_length(encode(CASE WHEN printed THEN substring(content, 1000 * (k - 1) + 1, 1000) ELSE content END))::INTEGER AS size FROM p"))
+def page_images(spark, sf_dir):
+    pages, _ = preprocessing.page_images(_raw_files(spark, sf_dir), fixtures.IMAGES, fixtures.OFFICE)
+    return pages.select("id", "page_number", F.octet_length("image").alias("size"))
+
+
+@_query(_with(D, f"SELECT CASE WHEN content_type = 'audio/wav' THEN 'UnsupportedFile' WHEN content IS NULL THEN 'MissingContent' ELSE 'ValueError' END AS title, count(*)::BIGINT AS n FROM docs WHERE content_type = 'audio/wav' OR content IS NULL OR (({_PRINTED}) AND content = '') GROUP BY 1"))
+def preprocessing_errors(spark, sf_dir):
+    _, errors = preprocessing.page_images(_raw_files(spark, sf_dir), fixtures.IMAGES, fixtures.OFFICE)
+    return errors.groupBy(F.col("error.title").alias("title")).agg(F.count("*").alias("n"))
+
+
+_MANIFEST = T.StructType([T.StructField("project", T.StringType()), T.StructField("docs", T.StringType()), T.StructField("doc_id", T.LongType()), T.StructField("target_language", T.StringType()), T.StructField("content_text_length", T.LongType())])
+
+
+def _arguments(spark, sf_dir):
+    d = fixtures.documents(spark, sf_dir)
+    return d.select("project", F.col("id").alias("docs"), "doc_id", F.lit("ENGLISH").alias("target_language"), F.col("content_text_length").cast("long").alias("content_text_length"))
+
+
+_MANIFEST_SQL = """'{' || CASE WHEN source IS NULL THEN '' ELSE '"project":"' || source || '",' END || '"docId":' || doc_id || ',"targetLanguage":"ENGLISH"' || CASE WHEN n_chars IS NULL THEN '' ELSE ',"contentTextLength":' || n_chars END || '}'"""
+
+
+@_query(f"SELECT {_MANIFEST_SQL} AS manifest FROM documents")
+def manifest_arguments(spark, sf_dir):
+    return _arguments(spark, sf_dir).select(forms.manifest_json(_MANIFEST).alias("manifest"))
+
+
+@_query("SELECT source AS project, doc_id, 'ENGLISH' AS target_language, n_chars::BIGINT AS content_text_length FROM documents")
+def manifest_round_trip(spark, sf_dir):
+    written = _arguments(spark, sf_dir).select(forms.manifest_json(_MANIFEST).alias("m"))
+    return written.select(forms.from_manifest(F.col("m"), _MANIFEST).alias("s")).select("s.*").drop("docs")
+
+
+@_query(f"SELECT doc_id, sha256({_MANIFEST_SQL}) || '.json' AS name FROM documents")
+def result_names(spark, sf_dir):
+    return _arguments(spark, sf_dir).select("doc_id", forms.result_name(forms.manifest_json(_MANIFEST)).alias("name"))
+
+
+@_query(_with(D, "SELECT id, language, content, n_pages FROM docs"))
+def jsonl_round_trip(spark, sf_dir):
+    d = fixtures.documents(spark, sf_dir).select("id", "language", "content", "n_pages")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="docweave-")
+    path = f"{base.rstrip('/')}/jsonl-{uuid.uuid4().hex}"
+    d.write.option("ignoreNullFields", True).json(path)
+    return files.read_jsonl(spark, path, d.schema)
+
+
+# -- order, places and keys ----------------------------------------------------------------------
+
+
+@_query(_with(D, "SELECT id, content_type, row_number() OVER (PARTITION BY content_type ORDER BY doc_id)::BIGINT AS scan_pos FROM docs WHERE content_type IN ('application/pdf', 'image/png', 'audio/wav')"))
+def ordered_scan_by_type(spark, sf_dir):
+    found = predicates.ordered_scan(fixtures.documents(spark, sf_dir), predicates.docs_query(None, ["image/png", "application/pdf", "audio/wav"]), ["contentType"])
+    return found.select("id", F.col("contentType").alias("content_type"), "scan_pos")
+
+
+@_query(_with(D, "SELECT id, language, row_number() OVER (PARTITION BY language ORDER BY doc_id)::BIGINT AS scan_pos FROM docs WHERE coalesce(translated_to, '') <> 'ENGLISH' AND language IS NOT NULL"))
+def ordered_scan_by_language(spark, sf_dir):
+    found = predicates.ordered_scan(fixtures.documents(spark, sf_dir).where("language IS NOT NULL"), predicates.untranslated("ENGLISH"), ["language"])
+    return found.select("id", "language", "scan_pos")
+
+
+@_query(_with(D, "SELECT id, content_type, language, row_number() OVER (PARTITION BY content_type, language ORDER BY doc_id)::BIGINT AS scan_pos FROM docs WHERE language IS NOT NULL"))
+def ordered_scan_by_type_and_language(spark, sf_dir):
+    found = predicates.ordered_scan(fixtures.documents(spark, sf_dir).where("language IS NOT NULL"), predicates.match_all(), ["contentType", "language"])
+    return found.select("id", F.col("contentType").alias("content_type"), "language", "scan_pos")
+
+
+@_query("SELECT doc_id // 16 AS batch, doc_id % 16 AS pos, doc_id, length(text)::INTEGER AS found FROM documents")
+def results_by_place(spark, sf_dir):
+    d = fixtures.table(spark, sf_dir, "documents")
+    place = [F.expr("doc_id div 16").alias("batch"), (F.col("doc_id") % 16).alias("pos")]
+    return regroup.zip_results(d.select(*place, "doc_id"), d.select(*place, F.length("text").alias("found")), ["batch", "pos"])
+
+
+@_query("SELECT doc_id, toxic FROM labels WHERE doc_id IN (SELECT doc_id FROM documents)")
+def required_documents(spark, sf_dir):
+    docs = fixtures.table(spark, sf_dir, "documents").select("doc_id").distinct()
+    labels = fixtures.table(spark, sf_dir, "labels").join(docs, "doc_id", "left_semi")
+    return regroup.require_keys(labels.select("doc_id", "toxic"), docs, "doc_id")
+
+
+@_query("SELECT event_id, event_type, ((row_number() OVER (PARTITION BY event_type ORDER BY event_id) - 1) // 64)::BIGINT AS micro_batch FROM events")
+def sentence_micro_batches(spark, sf_dir):
+    e = fixtures.table(spark, sf_dir, "events").select("event_id", "event_type")
+    return batching.micro_batches(e, 64, "event_type", "event_id")
+
+
+@_query(_with(D, """SELECT id, CASE WHEN doc_id % 3 = 0 AND translated_to = 'ENGLISH' THEN 1 WHEN doc_id % 3 = 0 THEN 2 ELSE 1 END::BIGINT AS n, 'second' AS english FROM docs WHERE language IS NOT NULL"""))
+def updates_in_order(spark, sf_dir):
+    d = fixtures.documents(spark, sf_dir).where("language IS NOT NULL")
+    two = d.select("id", "language", F.explode(F.array(F.lit("second"), F.lit("first"))).alias("text")).withColumn("at", F.when(F.col("text") == "first", 1).otherwise(2))
+    new = F.struct(F.col("language").alias("source_language"), F.lit("ENGLISH").alias("target_language"), F.lit("new").alias("translator"), F.col("text").alias("content"))
+    out = upsert.upsert_translations(d, two.select("id", "at", new.alias("translation")), order="at")
+    english = F.get(F.filter("content_translated", lambda t: t["target_language"] == "ENGLISH"), 0)["content"]
+    return out.select("id", F.size("content_translated").cast("long").alias("n"), english.alias("english"))
+
+
+# -- older layout, files and tags ----------------------------------------------------------------
+
+
+def _older(spark, sf_dir):
+    """Documents with a map of language to text in place of the array."""
+    d = fixtures.documents(spark, sf_dir)
+    return d.withColumn("content_translated", F.map_from_entries(F.transform("content_translated", lambda t: F.struct(t["target_language"], t["content"]))))
+
+
+@_query(_with(D, "SELECT id FROM docs WHERE tag IS NULL AND (language = 'ENGLISH' OR translated_to = 'ENGLISH')"))
+def unclassified_older(spark, sf_dir):
+    return predicates.search(_older(spark, sf_dir), predicates.unclassified_in_map("quality-v1", "ENGLISH")).select("id")
+
+
+@_query(_with(D, "SELECT id, CASE WHEN language = 'FRENCH' THEN content WHEN translated_to = 'FRENCH' THEN translated END AS content FROM docs"))
+def content_older(spark, sf_dir):
+    d = _older(spark, sf_dir)
+    return d.select("id", values.content_in_map(F.lit("FRENCH"), F.col("language"), F.col("content"), F.col("content_translated")).alias("content"))
+
+
+@_query("""SELECT event_id, CASE event_id % 6 WHEN 0 THEN true WHEN 1 THEN true WHEN 2 THEN false WHEN 3 THEN true WHEN 4 THEN false ELSE true END AS valid FROM events""")
+def language_tags(spark, sf_dir):
+    tags = F.array(*map(F.lit, ["en", "pt-BR", "english_uk", "zh-Hant-TW", "e", "sl-rozaj-biske"]))
+    return fixtures.table(spark, sf_dir, "events").select("event_id", languages.is_tag(F.get(tags, F.col("event_id") % 6)).alias("valid"))
+
+
+@_query(_with(D + ", m AS (SELECT DISTINCT 'm' || (doc_id % 7) AS model, language FROM docs WHERE language IS NOT NULL)", "SELECT language, string_agg(model, ',' ORDER BY model) AS models FROM m GROUP BY language"))
+def language_models(spark, sf_dir):
+    d = fixtures.documents(spark, sf_dir).where("language IS NOT NULL")
+    models = d.groupBy(F.concat(F.lit("m"), (F.col("doc_id") % 7).cast("string")).alias("model")).agg(F.collect_set("language").alias("languages"))
+    return regroup.models_by_language(models).select("language", F.array_join("models", ",").alias("models"))
+
+
+@_query("SELECT lpad(doc_id::VARCHAR, 8, '0') AS id, 'work/' || doc_id || '.png' AS path, 'r' || (doc_id % 5) AS root_id, 'root/' || (doc_id % 5) AS root_path, 'filesystem' AS root_location, 'workdir' AS location FROM documents")
+def child_files(spark, sf_dir):
+    d = fixtures.table(spark, sf_dir, "documents")
+    fields = {"id": F.lpad(F.col("doc_id").cast("string"), 8, "0"), "path": F.lit("old"), "project": F.col("source"), "location": F.lit("artifacts"), "resource_name": F.lit("x"), "n_pages": F.lit(1), "root_id": F.concat(F.lit("r"), (F.col("doc_id") % 5).cast("string")), "root_path": F.concat(F.lit("root/"), (F.col("doc_id") % 5).cast("string")), "root_location": F.lit("filesystem")}
+    file = F.struct(*(v.alias(k) for k, v in fields.items()))
+    made = paths.child_file(file, F.concat(F.lit("work/"), F.col("doc_id").cast("string"), F.lit(".png")))
+    return d.select(made.alias("f")).select("f.id", "f.path", "f.root_id", "f.root_path", "f.root_location", "f.location")
+
+
 # -- search -------------------------------------------------------------------------------------
 
 
@@ -494,10 +659,14 @@ def top_k_similar(spark, sf_dir):
     return found.select("query_id", "doc_id", F.round("distance", 6).alias("distance"), "rank")
 
 
-@_query()
+@_query(_with(D + """, t AS (SELECT id, lower(coalesce(content, '')) AS c, greatest(1, length(coalesce(content, ''))) AS n FROM docs UNION ALL SELECT '0', 'the and of', 10 UNION ALL SELECT '1', 'der die das', 11),
+v AS (SELECT id, list_transform(list_transform(range(26), lambda i: ((length(c) - length(replace(c, chr((97 + i)::INTEGER), ''))) / n)::FLOAT), lambda x: x::DOUBLE) AS e FROM t),
+p AS (SELECT q.id::INTEGER AS query_id, v.id AS doc_id, round(1 - list_dot_product(q.e, v.e) / sqrt(list_dot_product(q.e, q.e) * list_dot_product(v.e, v.e)), 6) AS distance FROM v q, v WHERE length(q.id) = 1 AND length(v.id) = 8 AND list_sum(v.e) > 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, doc_id) AS rank FROM p)""", "SELECT query_id, distance, rank::INTEGER AS rank FROM r WHERE rank <= 2"))
 def text_similar(spark, sf_dir):
-    docs = fixtures.documents(spark, sf_dir).select("id", "content")
-    return pipelines.find_similar(pipelines.index_vectors(docs), ["the and of", "der die das"], 2)
+    docs = fixtures.documents(spark, sf_dir).select("id", "content").where(F.lower("content").rlike("[a-z]"))
+    found = pipelines.find_similar(pipelines.index_vectors(docs), ["the and of", "der die das"], 2)
+    return found.select("query_id", F.round("distance", 6).alias("distance"), F.col("rank").cast("int").alias("rank"))
 
 
 # -- progress -----------------------------------------------------------------------------------

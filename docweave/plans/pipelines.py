@@ -1,4 +1,8 @@
-"""The dataflows end to end: DataFrame in, DataFrame out."""
+"""The dataflows end to end: DataFrame in, DataFrame out.
+
+What a model gave is kept (in memory, then on disk) until the session ends or its results are
+unpersisted, as several outputs of a dataflow read it.
+"""
 
 from __future__ import annotations
 
@@ -40,7 +44,7 @@ def translate(docs: DataFrame, target: str, config: TranslationConfig | None = N
     parts = regroup.explode_parts(split.drop("content"), F.col("sentences")).drop("sentences")
     done = regroup.join_parts(plugins.translate_with(parts, config.translator, target), ["id", "language"], "translated")
     new = F.struct(F.col("language").alias("source_language"), F.lit(target).alias("target_language"), F.lit(config.translator["model"]).alias("translator"), "content").cast(_TRANSLATION)
-    translations = done.select("id", new.alias("translation"))
+    translations = done.select("id", new.alias("translation")).persist()  # the model runs once for both results
     counts = found.agg(F.count("*").alias("requested")).crossJoin(translations.agg(F.count("*").alias("translated")))  # one row each
     return upsert.upsert_translations(docs, translations), counts
 
@@ -49,7 +53,7 @@ def classify(docs: DataFrame, model: str, language: str, config: dict[str, Any]
     """(documents with new tags, count); documents whose content in the language is missing drop out."""
     found = predicates.search(docs, predicates.and_query(predicates.unclassified(model, language), predicates.has_type()))
     texts = found.select("id", values.content_in(F.lit(language), F.col("language"), F.col("content"), F.col("content_translated")).alias("content")).where("content IS NOT NULL")
-    labelled = plugins.classify_with(texts, config or {"model": "LENGTH"})
+    labelled = plugins.classify_with(texts, config or {"model": "LENGTH"}).persist()
     tags = labelled.select("id", values.classified_tag(model, F.col("label")).alias("tag"))
     return upsert.add_tags(docs, tags), tags.agg(F.count("*").alias("classified"))
 
@@ -64,7 +68,7 @@ def translate_and_classify(docs: DataFrame, model: str, language: str) -> tuple[
 
 def transcribe(audio: DataFrame, docs: DataFrame, config: dict[str, Any] | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents with transcribed content, artifacts with confidence and score) of (id, content) binaries."""
-    found = plugins.transcribe_with(audio, config or {"model": "SCRIPT"})
+    found = plugins.transcribe_with(audio, config or {"model": "SCRIPT"}).persist()
     good, _ = reports.split_errors(found)
     artifacts = good.select("id", values.confidence(F.col("score")).alias("confidence"), F.col("score").alias("manifest_confidence"), "segments")
     segments = good.select("id", F.posexplode("segments").alias("pos", "s")).select("id", "pos", F.col("s.text").alias("text"), F.lit(None).cast("string").alias("speaker"))
@@ -73,7 +77,7 @@ def transcribe(audio: DataFrame, docs: DataFrame, config: dict[str, Any] | None
 
 def extract(pages: DataFrame, config: dict[str, Any] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(contents, errors, report) of (id, html, n_pages)."""
-    found = plugins.extract_with(pages, config or {"model": "HTML"})
+    found = plugins.extract_with(pages, config or {"model": "HTML"}).persist()
     good, bad = reports.split_errors(found)
     return good, bad, reports.extraction_report(found.join(pages.select("id", "n_pages"), "id"))
 

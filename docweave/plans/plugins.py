@@ -97,11 +97,16 @@ class LetterEmbedder:
 
 @register("transcriber", "SCRIPT")
 class ScriptTranscriber:
-    """Reads audio as UTF-8 lines, a second each."""
+    """Reads audio as UTF-8 lines, a second each, in the three stages of a real model."""
 
-    def transcribe(self, data: bytes) -> dict[str, Any]:
-        lines = data.decode("utf-8").splitlines()
-        return {"transcription": [(float(i), float(i + 1), t) for i, t in enumerate(lines)], "score": -0.1 * len(lines)}
+    def preprocess(self, files: list[bytes]) -> list[Any]:
+        return [captured(lambda d: d.decode("utf-8"))(d) for d in files]
+
+    def infer(self, texts: list[str]) -> list[list[str]]:
+        return [t.splitlines() for t in texts]
+
+    def postprocess(self, found: list[list[str]]) -> list[dict[str, Any]]:
+        return [{"transcription": [(float(i), float(i + 1), t) for i, t in enumerate(lines)], "score": -0.1 * len(lines)} for lines in found]
 
 
 @register("extractor", "HTML")
@@ -132,6 +137,36 @@ class EveryNth:
         return [[{"class_id": "passport", "confidence": 0.5}] if p % self.n == 0 else [] for p in pages]
 
 
+@register("converter", "PRINT")
+class Printer:
+    """Stand-in for a converter to PDF: a form feed behind every ``page_length`` characters of a text."""
+
+    def __init__(self, page_length: int = 1000):
+        self.page_length = page_length
+
+    def convert(self, data: bytes) -> bytes:
+        text = data.decode("utf-8")
+        if not text:
+            raise ValueError("nothing to convert")
+        return "\f".join(text[i : i + self.page_length] for i in range(0, len(text), self.page_length)).encode()
+
+
+@register("paginator", "FORM_FEED")
+class FormFeeds:
+    """Stand-in for the renderer of PDF pages: parts between form feeds."""
+
+    def pages(self, data: bytes) -> list[bytes]:
+        return data.split(b"\f")
+
+
+@register("paginator", "FRAMES")
+class Frames:
+    """Stand-in for an image reader: parts between NUL bytes are the frames of an image."""
+
+    def pages(self, data: bytes) -> list[bytes]:
+        return data.split(b"\0")
+
+
 def captured(function: Callable[..., Any], known: tuple[type[BaseException], ...] = (ValueError, UnicodeError)):
     """Known errors become (None, title, detail); others fail the task."""
 
@@ -191,18 +226,37 @@ def embed_with(df: DataFrame, config: dict[str, Any], text: str = "content") ->
     return df.withColumn("vector", vector(text))
 
 
-def transcribe_with(df: DataFrame, config: dict[str, Any], data: str = "content") -> DataFrame:
-    """id, segments, score and error of binary contents; a missing score is an error."""
+def transcribe_with(df: DataFrame, config: dict[str, Any], data: str = "content", files_per_batch: int = 16) -> DataFrame:
+    """id, segments, score and error of binary contents; no content and a missing score are errors.
+
+    The model reads, infers and finishes ``files_per_batch`` files at a time; a file that can't be
+    read is left out of the other stages, and each stage must give as many results as it got files.
+    """
     schema = "id string, segments array<struct<start_s:double,end_s:double,text:string>>, score double, error struct<title:string,detail:string>"
 
+    def stage(run, inputs: list) -> list:
+        out = list(run(inputs)) if inputs else []
+        if len(out) != len(inputs):
+            raise ValueError(f"the transcriber gave {len(out)} results for {len(inputs)} files")
+        return out
+
     def run(frames):
         for frame in frames:
             rows = []
-            for key, content in zip(frame["id"], frame[data], strict=True):
-                found, title, detail = captured(CACHE.get("transcriber", config).transcribe)(bytes(content))
-                if found is not None and found["score"] is None:
-                    found, title, detail = None, "ValidationError", "confidence is missing"
-                rows.append((key, None if found is None else found["transcription"], None if found is None else found["score"], None if title is None else (title, detail)))
+            for a in range(0, len(frame), files_per_batch):
+                model, some = CACHE.get("transcriber", config), frame.iloc[a : a + files_per_batch]
+                read = {i: (None, "ValueError", "no content") for i, c in enumerate(some[data]) if c is None}
+                there = [i for i in range(len(some)) if i not in read]
+                read |= dict(zip(there, stage(model.preprocess, [bytes(some[data].iloc[i]) for i in there]), strict=True))
+                good = [i for i in there if read[i][1] is None]
+                done = dict(zip(good, stage(model.postprocess, stage(model.infer, [read[i][0] for i in good])), strict=True))
+                for i, key in enumerate(some["id"]):
+                    if i not in done:
+                        rows.append((key, None, None, read[i][1:]))
+                    elif done[i]["score"] is None:
+                        rows.append((key, None, None, ("ValidationError", "confidence is missing")))
+                    else:
+                        rows.append((key, done[i]["transcription"], done[i]["score"], None))
             yield pd.DataFrame(rows, columns=["id", "segments", "score", "error"])
 
     return df.select("id", data).mapInPandas(run, schema)

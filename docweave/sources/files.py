@@ -81,8 +81,11 @@ def write_batches(batched: DataFrame, path: str, exclude: list[str] | None = Non
 
 
 def write_results(results: DataFrame, good: str, bad: str, error: str = "error") -> None:
-    results.where(F.col(error).isNull()).drop(error).write.mode("overwrite").json(good)
-    results.where(F.col(error).isNotNull()).write.mode("overwrite").json(bad)
+    """Rows without and with an error, in JSON; the results are computed once."""
+    held = results.persist()
+    held.where(F.col(error).isNull()).drop(error).write.mode("overwrite").json(good)
+    held.where(F.col(error).isNotNull()).write.mode("overwrite").json(bad)
+    held.unpersist()
 
 
 def replace_snapshot(df: DataFrame, root: str) -> str:

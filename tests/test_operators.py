@@ -140,7 +140,7 @@ def test_queries_have_the_known_form():
     assert predicates.docs_query(["doc-id-0"], ["application/pdf"]) == {"query": {"bool": {"must": [pdf, {"ids": {"values": ["doc-id-0"]}}]}}}
     assert predicates.docs_query({"term": {"some": "query"}}, ["application/pdf"]) == {"query": {"bool": {"must": [pdf, {"term": {"some": "query"}}]}}}
     assert predicates.translation_query(None, "ENGLISH") == {"bool": {"must_not": [{"term": {"content_translated.target_language.keyword": "ENGLISH"}}]}}
-    with pytest.raises(ValueError, match="unsupported"):
+    with pytest.raises(ValueError, match="no query is known"):
         predicates.docs_query(3, [])
 
 
@@ -159,7 +159,7 @@ def test_compiled_queries(spark):
 def test_paths(spark):
     row = spark.range(1).select(paths.artifacts_dir(F.lit("doc_id"), F.lit("p")).alias("a"), paths.suffix(F.lit("x/y.tar.gz")).alias("s"), paths.suffix(F.lit(".bashrc")).alias("n")).collect()[0]
     assert (row.a, row.s, row.n) == ("p/do/c_/doc_id", ".gz", "")
-    with pytest.raises(Exception, match="at least 4"):
+    with pytest.raises(Exception, match="four characters"):
         spark.range(1).select(paths.safe_dir(F.concat(F.lit("abc"), F.lit("")))).collect()
     valid = lambda r, n: spark.range(1).select(paths.byte_ranges_valid(F.expr(r), F.lit(n)).alias("v")).collect()[0].v
     assert not valid("array(array(0,1),array(1,2),array(2,3))", 2) and valid("array(array(0,1),array(1,2))", 2) and not valid("array(array(1,0))", 1)
@@ -168,7 +168,7 @@ def test_paths(spark):
 def test_media_types():
     assert [len(media.types_of(e)) for e in (".pdf", ".docx", ".jpg")] == [1, 1, 2]
     assert media.types_of(".uot") == media.types_of(".xml")
-    with pytest.raises(ValueError, match="unsupported mimetype"):
+    with pytest.raises(ValueError, match="no media type"):
         media.types_of(".nothing")
     ways = media.categories([".png", ".pdf", ".msp"], [".docx", ".png", ".key", ".pdf"])
     assert ways == {"pdf": [".pdf"], "image": [".png"], "to_pdf": [".docx"]}
