@@ -137,23 +137,25 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
     rows = [(t or "", y) for t, y in rows]
     n1, n0 = sum(y for _, y in rows), sum(1 - y for _, y in rows)
     found = (Counter(), Counter())  # texts of each label by term
-    bags = []
     for text, y in rows:
-        bag: Counter = Counter()
-        for word, n in Counter(_WORD.findall(text.lower())).items():
-            for t in _terms(word, starts):
-                bag[t] += n
-        bags.append(bag)
-        found[y].update(dict.fromkeys(bag, 1))
+        found[y].update({t for word in set(_WORD.findall(text.lower())) for t in _terms(word, starts)})
     frequent = {t: (found[1][t], found[0][t]) for c in found for t in c if found[1][t] + found[0][t] >= 3}
     gains = {t: log_likelihood(a, max(n1, 1), b, max(n0, 1)) for t, (a, b) in frequent.items()}
     chosen = sorted((t for t in gains if gains[t] > 10.83), key=lambda t: (-gains[t], t))[:terms]
     idf = {t: 1 + math.log((len(rows) + 1) / (sum(frequent[t]) + 1)) for t in chosen}
     prior = share_of(counts)
-    kept = [(i, {t: c for t, c in bag.items() if t in idf}) for i, bag in enumerate(bags)]
-    model = NeighbourVotes(BlockMaxIndex([c for _, c in kept], [rows[i][1] for i, _ in kept], [i for i, _ in kept], idf), starts, k, prior)
+    del found, frequent, gains  # all terms of the sample; only the chosen ones are counted by text
+    bags = []
+    for text, _ in rows:
+        bag: Counter = Counter()
+        for word, n in Counter(_WORD.findall(text.lower())).items():
+            for t in _terms(word, starts):
+                if t in idf:
+                    bag[t] += n
+        bags.append(bag)
+    model = NeighbourVotes(BlockMaxIndex(bags, [y for _, y in rows], list(range(len(rows))), idf), starts, k, prior)
     if n1 and n0:
-        share = np.array([model.vote(c, i)[0] for i, c in kept])
+        share = np.array([model.vote(c, i)[0] for i, c in enumerate(bags)])
         model.slope, model.shift = logistic_fit(np.log(share / (1 - share)), np.array([y for _, y in rows]), counts)
         model.slope = max(model.slope, 0.0)
     return model
