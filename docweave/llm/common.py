@@ -107,7 +107,10 @@ def sha256_hex(data: bytes) -> str:
 
 
 def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", most: int = 1 << 20):
-    """Cuts batches so that each has about ``most`` bytes of text (a longer text stays whole)."""
+    """Cuts batches so that each has about ``most`` bytes of text (a longer text stays whole).
+
+    What Arrow's pool holds unused is given back after each batch, as idle workers keep it otherwise.
+    """
     from docweave.llm.rolling import slices, text_buffers
 
     for batch in batches:
@@ -116,3 +119,4 @@ def small_batches(batches: Iterable[pa.RecordBatch], text: str = "text", most: i
             for a, z in slices(offsets, most):
                 for i in range(a, z, 1 << 15):
                     yield batch.slice(i, min(z - i, 1 << 15))
+        pa.default_memory_pool().release_unused()
