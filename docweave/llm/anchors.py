@@ -9,7 +9,8 @@ anchors at equal places; a run of windows with one anchor is a context.  The ste
 3. contexts with equal content are one weighted context; where an anchor has only one, all its
    windows repeat.  The contents of the others are fetched, one per weighted context;
 4. an operator's own index finds the repeated windows of the contents of each anchor;
-5. the places of every context get its repeated windows, as ranges of units for each text.
+5. the places of every context get its repeated windows, as ranges of units for each text.  The
+   runs of windows of a content are one row, so that this join gives a row for each place.
 
 Joins are keyed by hashes of content or by rows and left to adaptive skew handling; groups are
 never collected except in step 4, whose groups hold distinct contents around one anchor.  Anchors
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docweave.llm import rolling
@@ -33,7 +34,7 @@ from docweave.llm.common import shared_folder, small_batches, with_row_id, writt
 _CONTEXTS = "rid long, start int, windows int, h long, ctx long"
 _CONTENTS = "h long, ctx long, n long, windows int, content binary"
 _WINDOWS = "h long, a long, b long, n long, ctx long, first int"
-_REPEATS = "h long, ctx long, first int, last int"
+_REPEATS = "h long, ctx long, runs array<struct<first:int,last:int>>"
 
 
 @dataclass(frozen=True)
@@ -86,7 +87,7 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
     """(docs with rid, ranges of repeated windows as rid and an array of (first, last) units).
 
     ``index`` gets contents of whole anchors, about ``block_bytes`` at a time, and returns the
-    repeated windows as (number of the content, first window, last window).
+    repeated windows as (number of the content, first window, last window), in order of content.
     """
     spark = docs.sparkSession
     folder = shared_folder(spark)
@@ -107,15 +108,28 @@ def find_repeats(docs: DataFrame, units: Units, index: Callable[[Contents], tupl
     verdicts = blocks.mapInArrow(lambda it: _verdicts(it, index, block_bytes), _REPEATS)
     counted = written(wanted("many").mapInArrow(lambda it: _windows(it, units), _WINDOWS), "windows", folder, repeated.count(), 1 << 18)
     again = counted.groupBy("h", "a", "b").agg(F.sum("n").alias("times")).where("times > 1").select("h", "a", "b")
-    verdicts = verdicts.unionByName(counted.join(again, ["h", "a", "b"]).select("h", "ctx", "first", F.col("first").alias("last")))
+    verdicts = verdicts.unionByName(_runs_of(counted.join(again, ["h", "a", "b"])))
 
-    whole = repeated.where("NOT mixed").select("rid", F.col("start").alias("first"), (F.col("start") + F.col("windows") + F.lit(units.length - 2)).alias("last"))
+    def units_of(first, last):
+        return F.struct((F.col("start") + first).alias("first"), (F.col("start") + last + F.lit(units.length - 1)).alias("last"))
+
+    whole = repeated.where("NOT mixed").select("rid", F.array(units_of(F.lit(0), F.col("windows") - 1)).alias("ranges"))
     parts = repeated.where("mixed").select("rid", "start", "h", "ctx").join(verdicts, ["h", "ctx"])
-    parts = parts.select("rid", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last") + F.lit(units.length - 1)).alias("last"))
-    ranges = whole.unionByName(parts).groupBy("rid").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
+    parts = parts.select("rid", F.transform("runs", lambda run: units_of(run["first"], run["last"])).alias("ranges"))
+    ranges = whole.unionByName(parts).groupBy("rid").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     return docs, ranges
 
 
+def _runs_of(windows: DataFrame) -> DataFrame:
+    """Windows (h, ctx, first) as one row for each content, with its runs of consecutive windows.
+
+    A content has at most as many windows as fit around one anchor, so no group grows with the number of places.
+    """
+    run = F.col("first") - F.row_number().over(Window.partitionBy("h", "ctx").orderBy("first"))
+    found = windows.select("h", "ctx", "first", run.alias("run")).groupBy("h", "ctx", "run").agg(F.min("first").alias("first"), F.max("first").alias("last"))
+    return found.groupBy("h", "ctx").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+
+
 def _contexts(batches: Iterable[pa.RecordBatch], units: Units) -> Iterator[pa.RecordBatch]:
     for batch in small_batches(batches):
         for data, offsets, ahead in units.pieces(*rolling.text_buffers(batch.column("text"))):
@@ -204,8 +218,11 @@ def _indexed(table: pa.Table, index) -> pa.RecordBatch:
     data, offsets = rolling.text_buffers(table.column("content").combine_chunks())
     h, ctx, n, windows = (np.asarray(table.column(c)) for c in ("h", "ctx", "n", "windows"))
     which, first, last = index(Contents(h, ctx, n, windows, data, offsets))
-    arrays = [h[which], ctx[which], first.astype(np.int32), last.astype(np.int32)]
-    return pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["h", "ctx", "first", "last"])
+    # the runs come in order of content: one row for each content that has any
+    begin = np.flatnonzero(np.r_[True, which[1:] != which[:-1]]) if len(which) else which
+    found = pa.StructArray.from_arrays([pa.array(x.astype(np.int32)) for x in (first, last)], names=["first", "last"])
+    listed = pa.ListArray.from_arrays(pa.array(np.r_[begin, len(which)].astype(np.int32)), found)
+    return pa.RecordBatch.from_arrays([pa.array(h[which[begin]]), pa.array(ctx[which[begin]]), listed], names=["h", "ctx", "runs"])
 
 
 def runs(repeated: np.ndarray, of: np.ndarray, window: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -99,3 +99,42 @@ def test_parts_hold_equal_prefixes():
     for p, part in enumerate(parts):
         for i in part:
             assert home.setdefault(tuple(names[i : i + 10]), p) == p
+
+
+def joined_contexts(df):
+    """Rows made by the join of contexts with what repeats of them, in the plan that ran."""
+    made, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        kind = plan.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            plans.append(plan.executedPlan())
+        elif "QueryStage" in kind:
+            plans.append(plan.plan())
+        else:
+            if "Join" in kind and "ctx#" in plan.simpleString(100):
+                made.append(plan.metrics().apply("numOutputRows").value())
+            plans += [plan.children().apply(i) for i in range(plan.children().size())]
+    return made
+
+
+@pytest.mark.parametrize("words", [True, False])
+@pytest.mark.parametrize("hot", [3, 20_000])
+def test_contexts_are_joined_once(spark, words, hot):
+    from docweave.llm import anchors, suffix_array, suffix_trees
+    from docweave.llm.common import with_row_id
+
+    r = random.Random(5)
+    unit = (lambda n: [f"w{r.randint(0, 10**6)}" for _ in range(n)]) if words else (lambda n: r.choices("abcdefgh", k=n))
+    passage, space = unit(60), " " if words else ""
+    # many copies of the passage; some texts share a part of it, so that its anchors have several contents
+    sequences = [passage] * 40 + [passage[:45] + unit(20) for _ in range(4)] + [unit(20) + passage[20:] for _ in range(4)] + [unit(60)]
+    # one unit changed amid a longer copy: a content with two runs of repeated windows
+    spoiled = passage[:15] + unit(1) + passage[16:]
+    docs = rows(spark, [space.join(s) for s in [*sequences, spoiled]])
+    units = anchors.Units(20, 4, words)
+    index = (lambda c: suffix_trees.repeated_windows(c, 20)) if words else (lambda c: suffix_array.repeated_windows(c, 20, 10))
+    places = with_row_id(docs.select("text")).mapInArrow(lambda it: anchors._contexts(it, units), anchors._CONTEXTS).count()
+    _, ranges = anchors.find_repeats(docs, units, index, 1 << 20, hot)
+    assert ranges.collect()
+    assert 0 < sum(joined_contexts(ranges)) <= places
