@@ -1,11 +1,13 @@
 """The pipeline's stages, each against what its operator finds on its own input."""
 
 import hashlib
+import re
 
 import public_tokenizers
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from docweave.llm import common
 from docweave.llm.common import shared_folder, written
 from tests.llm.test_minhash import brute_classes
 from tests.llm.test_phrases_and_lines import brute_lines, brute_phrases
@@ -42,3 +44,14 @@ def test_stages(spark):
                 ids = library.encode(texts[r.doc_id] or "", add_special_tokens=False).ids
                 assert (r.n_tokens, r.ids) == (len(ids), " ".join(map(str, ids)))
                 assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_driver_gives_memory_back(spark, monkeypatch):
+    """After a table is written the driver's JVM returns the native memory that it holds unused."""
+    reports, give_back = [], common.give_back
+    monkeypatch.setattr(common, "_given_back", -1e9)
+    monkeypatch.setattr(common, "give_back", lambda s: reports.append(give_back(s)))
+    for name in ("first", "second"):
+        assert written(spark.range(3), name, f"{shared_folder(spark)}/given").count() == 3
+    assert re.search(r"Trim native heap: RSS\+Swap: \w+->\w+", reports[0]), reports
+    assert len(reports) == 2 and common._given_back > 0
